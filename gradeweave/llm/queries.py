@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..runtime import load
-from . import residue
+from . import leakage, residue
 
 
 def p4_found(spark, sf_dir):
@@ -17,5 +17,17 @@ def p4_kinds(spark, sf_dir):
     return rows.join(residue.residue(rows), "row_id").groupBy("source", "kind").agg(F.count("*").alias("n_rows"), F.round(F.avg("coverage"), 4).alias("mean_coverage"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_kinds": p4_kinds}
+def p8_found(spark, sf_dir):
+    return p8_spans(spark, sf_dir).select("doc_id", "item_id").distinct()
+
+
+def p8_spans(spark, sf_dir):
+    return leakage.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_items"))
+
+
+def p8_clean(spark, sf_dir):
+    return leakage.without_leaks(load(spark, sf_dir, "documents"), p8_spans(spark, sf_dir))
+
+
+QUERIES = {"p8_found": p8_found, "p8_spans": p8_spans, "p8_clean": p8_clean, "p4_found": p4_found, "p4_kinds": p4_kinds}
 ORACLE: dict[str, str] = {}
