@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..runtime import load
-from . import leakage, residue
+from . import language, leakage, residue
 
 
 def p4_found(spark, sf_dir):
@@ -29,5 +29,14 @@ def p8_clean(spark, sf_dir):
     return leakage.without_leaks(load(spark, sf_dir, "documents"), p8_spans(spark, sf_dir))
 
 
-QUERIES = {"p8_found": p8_found, "p8_spans": p8_spans, "p8_clean": p8_clean, "p4_found": p4_found, "p4_kinds": p4_kinds}
+def p10_found(spark, sf_dir):
+    return language.unnamed_languages(language.segments(load(spark, sf_dir, "documents")))
+
+
+def p10_segments(spark, sf_dir):
+    s = language.segments(load(spark, sf_dir, "documents"))
+    return s.withColumn("confidence", F.round("confidence", 4))
+
+
+QUERIES = {"p10_found": p10_found, "p10_segments": p10_segments, "p8_found": p8_found, "p8_spans": p8_spans, "p8_clean": p8_clean, "p4_found": p4_found, "p4_kinds": p4_kinds}
 ORACLE: dict[str, str] = {}
