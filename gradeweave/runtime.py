@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +37,22 @@ def session(cpus: int | str = "*", **conf: str) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per context, wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_gradeweave_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(), "gradeweave.zip")  # the driver serves it to the executors
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(target)
+    sc._gradeweave_shipped = True
+
+
 def load(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+    ship(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
