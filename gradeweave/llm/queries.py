@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..runtime import load
-from . import language, leakage, residue
+from . import language, leakage, linkage, residue
 
 
 def p4_found(spark, sf_dir):
@@ -38,5 +38,22 @@ def p10_segments(spark, sf_dir):
     return s.withColumn("confidence", F.round("confidence", 4))
 
 
-QUERIES = {"p10_found": p10_found, "p10_segments": p10_segments, "p8_found": p8_found, "p8_spans": p8_spans, "p8_clean": p8_clean, "p4_found": p4_found, "p4_kinds": p4_kinds}
+def _channel_tables(spark, sf_dir):
+    return load(spark, sf_dir, "source_channels"), load(spark, sf_dir, "channel_dictionary")
+
+
+def p2_found(spark, sf_dir):
+    return linkage.pairs(*_channel_tables(spark, sf_dir)).select("row_a", "row_b")
+
+
+def p2_pairs(spark, sf_dir):
+    return linkage.pairs(*_channel_tables(spark, sf_dir))
+
+
+def p2_rules(spark, sf_dir):
+    r = linkage.classes(*_channel_tables(spark, sf_dir))
+    return r.groupBy("rule").agg(F.count("*").alias("n_records")).join(linkage.precisions(r), "rule").withColumn("precision", F.round("precision", 6))
+
+
+QUERIES = {"p2_found": p2_found, "p2_pairs": p2_pairs, "p2_rules": p2_rules, "p10_found": p10_found, "p10_segments": p10_segments, "p8_found": p8_found, "p8_spans": p8_spans, "p8_clean": p8_clean, "p4_found": p4_found, "p4_kinds": p4_kinds}
 ORACLE: dict[str, str] = {}
