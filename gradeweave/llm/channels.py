@@ -19,7 +19,7 @@ GENRES = (
     ("family", "familia", "fam"), ("movies", "filmes", "film", "mov"),
 )
 #: Marks of quality and words around names.
-QUALITY = frozenset("hd hd2 fhd uhd sd 4k 8k h264 h265 hevc full 1080p 720p".split())
+QUALITY = frozenset("hd hd2 fhd uhd sd 4k 8k h264 h265 hevc full 1080p 720p alt backup opcao option".split())
 AROUND = frozenset("tv rede canal channel br bra brasil auto epg id ch c canais com net org png jpg".split())
 #: The federal units.
 STATES = frozenset("ac al ap am ba ce df es go ma mt ms mg pa pb pr pe pi rj rn rs ro rr sc sp se to".split())
@@ -31,7 +31,7 @@ _LONG = sorted((w for w in _GENRE if len(w) >= 4), key=len, reverse=True)
 _VOD = re.compile(r"\bs\d{1,2} ?e\d{1,4}\b|\((?:19|20)\d\d\)|\bt\d{1,2} ?ep ?\d+", re.I)
 _FOREIGN = re.compile(r"^\W*([A-Za-z]{2})\W*\s?[|:\-–]\s")
 _CAMEL = re.compile(r"(?<=[a-zà-ÿ])(?=[A-ZÀ-Ý])|(?<=[^\W\d_]{3})(?=\d)|(?<=\d)(?=[^\W\d_]{3})")
-_ZERO = re.compile(r"(?<=[a-z])0|0(?=[a-z]{2})")
+_ZERO = re.compile(r"(?<=[^\W\d_])0(?![\d])|(?<![\w])0(?=[^\W\d_]{3})")
 
 
 class Parts(NamedTuple):
@@ -41,6 +41,7 @@ class Parts(NamedTuple):
     network: str
     foreign: bool
     vod: bool
+    bracketed: bool = False  # the number stands in brackets and may count streams
 
     @property
     def key(self) -> str | None:
@@ -94,16 +95,16 @@ class Parser:
     def _tokens(text: str) -> tuple[list[str], list[bool]]:
         """Words in small letters without the words around names, and whether a mark of quality stands before each."""
         words, after, seen = [], [], False
-        t = _CAMEL.sub(" ", text)
+        t = _CAMEL.sub(" ", _ZERO.sub("o", text))
         raw = re.findall(r"[^\W_]+", t.lower())
         ends = max((i for i, w in enumerate(raw) if w not in QUALITY), default=0)
         for i, w in enumerate(raw):
-            if w in QUALITY or w in ("opcao", "option"):
+            if w in QUALITY:
                 seen = True
             elif w in AROUND or (w in STATES and i == ends and i) or (len(w) == 2 and w in STATES and i and raw[i - 1] in AROUND | _GENRE.keys()):
                 continue
             else:
-                words.append(_ZERO.sub("o", w) if not w.isdigit() and sum(c.isalpha() for c in w) >= 4 else w)
+                words.append(w)
                 after.append(seen)
         return words, after
 
@@ -164,7 +165,7 @@ class Parser:
                         break
                 if network:
                     break
-        return Parts(" ".join(rest), genre, number, network, foreign, vod)
+        return Parts(" ".join(rest), genre, number, network, foreign, vod, bool(number) and bool(re.search(rf"[\[(]0*{number}[\])]", text)))
 
     def parse_code(self, code: str | None) -> list[Parts]:
         """An identifier or the name of an image; both readings where a short form may be a genre or a network."""

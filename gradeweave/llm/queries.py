@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..runtime import load
-from . import language, leakage, linkage, residue
+from . import language, leakage, linkage, mapping, residue
 
 
 def p4_found(spark, sf_dir):
@@ -55,5 +55,13 @@ def p2_rules(spark, sf_dir):
     return r.groupBy("rule").agg(F.count("*").alias("n_records")).join(linkage.precisions(r), "rule").withColumn("precision", F.round("precision", 6))
 
 
-QUERIES = {"p2_found": p2_found, "p2_pairs": p2_pairs, "p2_rules": p2_rules, "p10_found": p10_found, "p10_segments": p10_segments, "p8_found": p8_found, "p8_spans": p8_spans, "p8_clean": p8_clean, "p4_found": p4_found, "p4_kinds": p4_kinds}
+def p6_found(spark, sf_dir):
+    return mapping.map_entries(load(spark, sf_dir, "playlist_entries"), load(spark, sf_dir, "channel_dictionary"))
+
+
+def p6_unmapped(spark, sf_dir):
+    return mapping.report(load(spark, sf_dir, "playlist_entries"), load(spark, sf_dir, "channel_dictionary"))
+
+
+QUERIES = {"p6_found": p6_found, "p6_unmapped": p6_unmapped, "p2_found": p2_found, "p2_pairs": p2_pairs, "p2_rules": p2_rules, "p10_found": p10_found, "p10_segments": p10_segments, "p8_found": p8_found, "p8_spans": p8_spans, "p8_clean": p8_clean, "p4_found": p4_found, "p4_kinds": p4_kinds}
 ORACLE: dict[str, str] = {}
