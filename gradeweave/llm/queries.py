@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..runtime import load
-from . import language, leakage, linkage, mapping, residue
+from . import formatting, language, leakage, linkage, mapping, residue, survivors
 
 
 def p4_found(spark, sf_dir):
@@ -63,5 +63,51 @@ def p6_unmapped(spark, sf_dir):
     return mapping.report(load(spark, sf_dir, "playlist_entries"), load(spark, sf_dir, "channel_dictionary"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_unmapped": p6_unmapped, "p2_found": p2_found, "p2_pairs": p2_pairs, "p2_rules": p2_rules, "p10_found": p10_found, "p10_segments": p10_segments, "p8_found": p8_found, "p8_spans": p8_spans, "p8_clean": p8_clean, "p4_found": p4_found, "p4_kinds": p4_kinds}
-ORACLE: dict[str, str] = {}
+def p1_found(spark, sf_dir):
+    return formatting.copies(load(spark, sf_dir, "dictionary_records"))
+
+
+def p1_records(spark, sf_dir):
+    return formatting.collapsed(load(spark, sf_dir, "dictionary_records")).select("first_id", "name", F.size("aliases").cast("bigint").alias("n_aliases"), "n_copies")
+
+
+def _airings(spark, sf_dir):
+    return load(spark, sf_dir, "candidate_rows"), load(spark, sf_dir, "sources")
+
+
+def p7_found(spark, sf_dir):
+    return survivors.best_rows(*_airings(spark, sf_dir))
+
+
+def p7_merged(spark, sf_dir):
+    m = survivors.merged(*_airings(spark, sf_dir))
+    return m.withColumns({c: F.col(c).cast("string") for c in ("season", "episode")})
+
+
+def p7_consensus(spark, sf_dir):
+    return survivors.consensus(*_airings(spark, sf_dir))
+
+
+QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p7_found": p7_found, "p7_merged": p7_merged, "p7_consensus": p7_consensus, "p6_found": p6_found, "p6_unmapped": p6_unmapped, "p2_found": p2_found, "p2_pairs": p2_pairs, "p2_rules": p2_rules, "p10_found": p10_found, "p10_segments": p10_segments, "p8_found": p8_found, "p8_spans": p8_spans, "p8_clean": p8_clean, "p4_found": p4_found, "p4_kinds": p4_kinds}
+_CANON = """
+WITH c AS (SELECT rec_id, name, aliases, coalesce(lower(regexp_replace(name, '[^\\p{L}\\p{N}]', '', 'g')), chr(1)) AS n,
+  list_sort(list_transform(coalesce(aliases, []), lambda a: coalesce(lower(regexp_replace(a, '[^\\p{L}\\p{N}]', '', 'g')), chr(1)))) AS l FROM dictionary_records),
+g AS (SELECT n, l, min(rec_id) AS first_id, count(DISTINCT rec_id) AS n_copies FROM c GROUP BY n, l)
+"""
+_STAND_INS = ", ".join(f"'{x}'" for x in survivors.STAND_INS)
+_VALUED = r"""
+regexp_matches(v, '[\p{{L}}\p{{N}}]') AND NOT regexp_matches(v, '^\s*(\$?\{{\{{?[^{{}}]*\}}\}}?|<[^<>]*>|%[^%\s]*%|\[\[?[^\[\]]*\]\]?)\s*$')
+AND strip_accents(lower(regexp_replace(v, '^[\s\p{{Z}}]+|[\s\p{{Z}}.!]+$', '', 'g'))) NOT IN ({0})
+""".format(_STAND_INS)
+_LONG = f"""
+WITH r AS (SELECT c.*, coalesce(s.vote_weight, 0) AS w, coalesce(s.priority, 2147483647) AS p, count(*) OVER (PARTITION BY airing_id) AS n FROM candidate_rows c LEFT JOIN sources s ON s.key = c.source),
+l AS ({" UNION ALL ".join(f"SELECT airing_id, row_id, w, p, n, fetched_at, '{f}' AS field, CAST({f} AS VARCHAR) AS v FROM r" for f in survivors.FIELDS)}),
+o AS (SELECT *, row_number() OVER (PARTITION BY airing_id, field ORDER BY w DESC, p, fetched_at DESC NULLS LAST, row_id) AS k FROM l WHERE {_VALUED})
+"""
+ORACLE = {
+    "p1_found": _CANON + "SELECT DISTINCT first_id, rec_id FROM c JOIN g USING (n, l) WHERE rec_id != first_id",
+    "p1_records": _CANON + "SELECT first_id, c.name, CAST(len(c.aliases) AS BIGINT) AS n_aliases, n_copies FROM g JOIN c ON rec_id = first_id",
+    "p7_found": _LONG + "SELECT airing_id, field, row_id FROM o WHERE k = 1 AND n >= 2",
+    "p7_merged": _LONG + f"""SELECT airing_id, n_rows, {", ".join(f"max(v) FILTER (field = '{f}')" + f" AS {f}" for f in survivors.FIELDS)}
+FROM (SELECT airing_id, count(*) AS n_rows FROM r GROUP BY 1) LEFT JOIN (SELECT * FROM o WHERE k = 1) USING (airing_id) GROUP BY 1, 2""",
+}
