@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..runtime import load
-from . import formatting, language, leakage, linkage, mapping, residue, survivors
+from . import formatting, language, leakage, linkage, mapping, mixing, residue, survivors
 
 
 def p4_found(spark, sf_dir):
@@ -88,7 +88,15 @@ def p7_consensus(spark, sf_dir):
     return survivors.consensus(*_airings(spark, sf_dir))
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p7_found": p7_found, "p7_merged": p7_merged, "p7_consensus": p7_consensus, "p6_found": p6_found, "p6_unmapped": p6_unmapped, "p2_found": p2_found, "p2_pairs": p2_pairs, "p2_rules": p2_rules, "p10_found": p10_found, "p10_segments": p10_segments, "p8_found": p8_found, "p8_spans": p8_spans, "p8_clean": p8_clean, "p4_found": p4_found, "p4_kinds": p4_kinds}
+def p9_report(spark, sf_dir):
+    return mixing.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))
+
+
+def p9_copies(spark, sf_dir):
+    return mixing.mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))
+
+
+QUERIES = {"p9_report": p9_report, "p9_copies": p9_copies, "p1_found": p1_found, "p1_records": p1_records, "p7_found": p7_found, "p7_merged": p7_merged, "p7_consensus": p7_consensus, "p6_found": p6_found, "p6_unmapped": p6_unmapped, "p2_found": p2_found, "p2_pairs": p2_pairs, "p2_rules": p2_rules, "p10_found": p10_found, "p10_segments": p10_segments, "p8_found": p8_found, "p8_spans": p8_spans, "p8_clean": p8_clean, "p4_found": p4_found, "p4_kinds": p4_kinds}
 _CANON = """
 WITH c AS (SELECT rec_id, name, aliases, coalesce(lower(regexp_replace(name, '[^\\p{L}\\p{N}]', '', 'g')), chr(1)) AS n,
   list_sort(list_transform(coalesce(aliases, []), lambda a: coalesce(lower(regexp_replace(a, '[^\\p{L}\\p{N}]', '', 'g')), chr(1)))) AS l FROM dictionary_records),
