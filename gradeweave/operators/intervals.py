@@ -21,7 +21,7 @@ BUCKET_S = 86_400
 TEN_DAYS_S = 864_000
 
 
-def _flagged(df: DataFrame, keys: Sequence[str], start: str, stop: str, bucket_s: int) -> DataFrame:
+def flagged(df: DataFrame, keys: Sequence[str], start: str, stop: str, bucket_s: int) -> DataFrame:
     """k0.. (keys), b (bucket), s, e in microseconds, p (latest end of all rows before; NULL for the first)."""
     ks = [f"k{i}" for i in range(len(keys))]
     rows = df.select(
@@ -41,7 +41,7 @@ def _flagged(df: DataFrame, keys: Sequence[str], start: str, stop: str, bucket_s
 def gaps(df: DataFrame, keys: Sequence[str], start: str = "start", stop: str = "stop",
          max_gap_s: int | None = TEN_DAYS_S, bucket_s: int = BUCKET_S) -> DataFrame:
     """Each uncovered stretch between covered times of one key: keys, gap_start_s, gap_stop_s (epoch seconds)."""
-    g = _flagged(df, keys, start, stop, bucket_s).filter("s > p")
+    g = flagged(df, keys, start, stop, bucket_s).filter("s > p")
     if max_gap_s is not None:
         g = g.filter(F.col("s") - F.col("p") < max_gap_s * MICROS)
     return g.select(
@@ -59,7 +59,7 @@ def periods(df: DataFrame, keys: Sequence[str], start: str = "start", stop: str
     ks = [f"k{i}" for i in range(len(keys))]
     inside = Window.partitionBy(*ks, "b").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, 0)
     pieces = (
-        _flagged(df, keys, start, stop, bucket_s)
+        flagged(df, keys, start, stop, bucket_s)
         .withColumn("island", F.sum(F.when(F.col("p").isNull() | (F.col("s") > F.col("p")), 1).otherwise(0)).over(inside))
         .groupBy(*ks, "b", "island").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.count("*").alias("n"))
     )
