@@ -79,7 +79,13 @@ def _candidates(spark, sf_dir):
 
 def evaluations(spark, sf_dir):
     r, cands = _candidates(spark, sf_dir)
-    return r, C.evaluated(cands, C.shifted(C.near_window(r)), load(spark, sf_dir, "sources"))
+    pairs = materialise(C.shifted(C.near_window(r)))
+    return r, C.evaluated(cands, pairs, load(spark, sf_dir, "sources")), pairs
+
+
+def _timeline(spark, sf_dir):
+    r, ev, pairs = evaluations(spark, sf_dir)
+    return fuse.timeline(r, materialise(ev), pairs), r
 
 
 _CANDS = f"""ca AS (SELECT entry, source, unnest(arg_min({{'channel_id': channel_id, 'n_rows': n_rows, 'score': score, 'coverage': coverage, 'future_hours': future_hours, 'richness': richness}}, (-n_rows, channel_id))) , 1 AS tier FROM (SELECT *, {_ENTRY} AS entry FROM h) GROUP BY entry, source),
@@ -134,18 +140,15 @@ def title_support(spark, sf_dir):
 
 @query()
 def timeline_stitch(spark, sf_dir):
-    r, ev = evaluations(spark, sf_dir)
-    return fuse.timeline(r, ev, C.shifted(C.near_window(r))).select("entry", "s", "e", "source", "row_id", "kind")
+    return _timeline(spark, sf_dir)[0].select("entry", "s", "e", "source", "row_id", "kind")
 
 
 @query()
 def gap_fill(spark, sf_dir):
-    r, ev = evaluations(spark, sf_dir)
-    return fuse.timeline(r, ev, C.shifted(C.near_window(r))).filter("kind = 'fill'").select("entry", "s", "e", "source", "row_id")
+    return _timeline(spark, sf_dir)[0].filter("kind = 'fill'").select("entry", "s", "e", "source", "row_id")
 
 
 @query()
 def fused_schedule(spark, sf_dir):
-    r, ev = evaluations(spark, sf_dir)
-    t = fuse.timeline(r, ev, C.shifted(C.near_window(r)))
-    return fuse.with_metadata(t, r).select("entry", "s", "e", "title", "sub_title", F.length("desc").alias("desc_chars"), "season", "episode", F.array_join("categories", ",").alias("categories"), "date", "rating_badge")
+    t, r = _timeline(spark, sf_dir)
+    return fuse.with_metadata(materialise(t), r).select("entry", "s", "e", "title", "sub_title", F.length("desc").alias("desc_chars"), "season", "episode", F.array_join("categories", ",").alias("categories"), "date", "rating_badge")
