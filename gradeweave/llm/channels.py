@@ -1,7 +1,7 @@
 """Parts of a channel's name: brand, genre and number, or network and town.
 
-Names of unknown form keep all their words as the brand. Networks are learned from a dictionary of names: the words
-before the last one in names without a genre, seen with two or more last words.
+Networks are learned from a dictionary of names: the words before the last one in names without a genre. Names of
+several words without a genre and a known network keep their words in order of the alphabet, as either may come first.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ class Parts(NamedTuple):
     @property
     def key(self) -> str | None:
         """What tells channels apart, if the name says it all."""
-        if self.core and (self.genre or (self.network and self.core != self.network)):
+        if self.core and (self.genre or (self.core != self.network and " " in self.core)):
             return f"{self.core}|{self.genre}|{self.number}"
         return None
 
@@ -88,7 +88,7 @@ class Parser:
             words = [w for w in self._tokens(fold(name or ""))[0]]
             if len(words) >= 2 and not any(w in _GENRE or w.isdigit() for w in words):
                 ends.setdefault(" ".join(words[:-1]), set()).add(words[-1])
-        self.networks = {k for k, v in ends.items() if len(v) >= 2}
+        self.networks = set(ends)
         self._near = {d: w for w in sorted(set(_GENRE) | {n for n in self.networks if " " not in n}) if len(w) >= 5 for d in deletions(w)}
 
     @staticmethod
@@ -165,6 +165,8 @@ class Parser:
                         break
                 if network:
                     break
+            if not network:
+                rest.sort()
         return Parts(" ".join(rest), genre, number, network, foreign, vod, bool(number) and bool(re.search(rf"[\[(]0*{number}[\])]", text)))
 
     def parse_code(self, code: str | None) -> list[Parts]:
@@ -200,6 +202,8 @@ class Parser:
                     network = networks[w]
                 else:
                     rest.append(w)
-            if genre or network:
+            if genre or network or len(rest) > 1:
+                if not genre and not network:
+                    rest.sort()
                 out.append(Parts(" ".join(([network] if network else []) + rest), genre, number, network, False, False))
         return list(dict.fromkeys(out))

@@ -51,8 +51,8 @@ def p2_pairs(spark, sf_dir):
 
 
 def p2_rules(spark, sf_dir):
-    r = linkage.classes(*_channel_tables(spark, sf_dir))
-    return r.groupBy("rule").agg(F.count("*").alias("n_records")).join(linkage.precisions(r), "rule").withColumn("precision", F.round("precision", 6))
+    r, precision = linkage.resolve(*_channel_tables(spark, sf_dir))
+    return precision.join(r.groupBy("rule").agg(F.count("*").alias("n_records")), "rule", "left").fillna(0).withColumn("precision", F.round("precision", 6))
 
 
 def p6_found(spark, sf_dir):
