@@ -185,8 +185,8 @@ _COMMON = " + ".join(f"least({_COUNT('a', x)}, {_COUNT('b', x)})" for x in "ABCD
 _REST = "least(length(regexp_replace(a, '[A-Z0-9]', '', 'g')), length(regexp_replace(b, '[A-Z0-9]', '', 'g')))"
 
 
-@query(f"""{_tiers_sql()}, {_PC}, aa AS (SELECT DISTINCT key, norm AS a, array_to_string(regexp_extract_all(norm, '\d+'), ',') AS dg FROM ti WHERE length(norm) >= {match.FUZZY_LENGTH}),
-bb AS (SELECT DISTINCT source, channel_id, b, array_to_string(regexp_extract_all(b, '\d+'), ',') AS dg FROM (SELECT source, channel_id, {nn('display_names[1]')} AS b FROM pc) WHERE b != '')
+@query(f"""{_tiers_sql()}, {_PC}, aa AS (SELECT DISTINCT key, norm AS a, array_to_string(regexp_extract_all(norm, '\\d+'), ',') AS dg FROM ti WHERE length(norm) >= {match.FUZZY_LENGTH}),
+bb AS (SELECT DISTINCT source, channel_id, b, array_to_string(regexp_extract_all(b, '\\d+'), ',') AS dg FROM (SELECT source, channel_id, {nn('display_names[1]')} AS b FROM pc) WHERE b != '')
 SELECT key, count(*) AS n_pairs FROM aa JOIN bb USING (dg) WHERE 2.0::DOUBLE * least(length(a), length(b)) / (length(a) + length(b)) >= {match.FUZZY_BOUND} AND 2.0::DOUBLE * ({_COMMON} + {_REST}) / (length(a) + length(b)) >= {match.FUZZY_BOUND} GROUP BY key""")
 def fuzzy_bound_block(spark, sf_dir):
     return match.fuzzy_pairs(match.tiers(_d(spark, sf_dir)), _pc(spark, sf_dir)).groupBy("key").agg(F.count("*").alias("n_pairs"))
