@@ -143,3 +143,34 @@ def automatic_id(c: Column) -> Column:
 
 from .rules import BARE as BARE_LETTERS  # noqa: E402
 from .rules import MARKED as MARKED_LETTERS  # noqa: E402
+
+
+#: Ordered rewrites of names that changed or are often mistyped: pattern, replacement. A parameter of ``rewritten``.
+REWRITES: tuple[Step, ...] = (
+    (r"\bNOTICIARIO\b", "NOTICIAS"), (r"\bESPORTE\b", "ESPORTES"), (r"\bREDE TV!?\b", "REDETV"), (r"\bAGRO ?(?:\+|PLUS|MAIS)", "AGROMAIS"), (r"\b(?:CANAL|REDE) ", ""), (r"\bTV ([A-Z]{4,})\b", r"\1"),
+)
+
+
+def rewritten(c: Column, rules: tuple[Step, ...] = REWRITES) -> Column:
+    """The clean name in capitals after the ordered rewrites; foreign names are left as they are."""
+    plain = apply(c, (*QUALITY_STRIP, UNACCENT, UPPER))
+    return F.when(country(c) != "", plain).otherwise(apply(plain, (*rules, SQUEEZE)))
+
+
+def with_network(name: Column, group: Column, networks: tuple[str, ...]) -> Column:
+    """The name with its group's network before it, if the name holds no network of its own."""
+    n, g = apply(name, (UNACCENT, UPPER)), apply(F.coalesce(group, F.lit("")), (UNACCENT, UPPER))
+    out = F.when(F.exists(F.array(*(F.lit(x) for x in networks)), lambda x: F.contains(n, x)), n)
+    for x in networks:
+        out = out.when(F.contains(g, F.lit(x)), F.concat(F.lit(x + " "), n))
+    return out.otherwise(n)
+
+
+def compound_candidates(c: Column) -> Column:
+    """Names that an identifier 'City/UF..Network.Rest.br' may stand for: the right part, and its network with the city."""
+    right = F.regexp_replace(F.regexp_replace(F.regexp_extract(c, r"^.*?\.\.(.*)$", 1), rf"(?i)\.(?:{DOMAINS})$", ""), r"[.\-–—_]+", " ")
+    place = F.trim(F.regexp_replace(F.regexp_extract(c, r"^(.*?)\.\.", 1), r"[./]", " "))
+    city = F.trim(F.regexp_replace(F.regexp_extract(c, r"^([^/]*?)(?:/.*)?\.\.", 1), r"\.", " "))
+    network = F.regexp_extract(right, r"^(\S+)", 1)
+    made = F.array(F.trim(right), F.concat_ws(" ", network, place), F.concat_ws(" ", network, city))
+    return F.when(F.contains(c, F.lit("..")), F.array_distinct(F.filter(made, lambda x: F.trim(x) != ""))).otherwise(F.array().cast("array<string>"))

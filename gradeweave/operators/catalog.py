@@ -129,3 +129,10 @@ def learned_catalog(store: DataFrame, named: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("k", "tvg_id", "seen", "trusted"))).alias("ids"))
     seen = store.groupBy("key").agg(F.sum("seen").alias("observations"), F.sum(F.when(F.col("tvg_id") == "", F.col("seen")).otherwise(0)).alias("blank_ids"))
     return seen.join(named, "key", "left").join(best, "key", "left").select("key", "name", "observations", "blank_ids", "ids")
+
+
+def stable_ids(named: DataFrame, key: str = "row", name: str = "name") -> DataFrame:
+    """key, id: an identifier made of the normalised name; all but the first of equal ones get a hash of their own name."""
+    n = named.select(F.col(key).alias("k"), F.col(name).alias("name"), names.automatic_id(F.col(name)).alias("id"))
+    first = n.groupBy("id").agg(F.min(F.struct("k", "name")).alias("f")).select("id", F.col("f.name").alias("first_name"))
+    return n.join(first, "id").select(F.col("k").alias(key), F.when(F.col("name") == F.col("first_name"), F.col("id")).otherwise(F.concat("id", F.lit("."), F.substring(F.sha1("name"), 1, 8))).alias("id"))

@@ -112,3 +112,16 @@ def tail_donors(matches: DataFrame, coverage: DataFrame, now: int, hours: int =
     top = m.withColumn("t", F.min("tier").over(Window.partitionBy("key")))  # as many rows as there are sources
     end = top.filter("tier = t").groupBy("key").agg(F.max("last").alias("end")).filter(F.col("end") < now + hours * 3600)
     return top.filter("tier > t").join(end, "key").filter(F.col("last") > F.col("end") + more * 3600).select("key", "source", "channel_id", "tier", "last")
+
+
+#: Words that must stand in both names or in neither. A parameter of ``veto``.
+TELLING_WORDS = ("NEWS", "NOTICIAS", "KIDS", "INFANTIL", "SPORTS", "ESPORTES", "MUSIC", "MUSICA", "FILMES", "MOVIES", "PLUS", "2", "3")
+
+
+def veto(a: Column, b: Column, words: tuple[str, ...] = TELLING_WORDS) -> Column:
+    """Whether two normalised names must not be matched by similarity: a telling word in one only, or names that begin
+    apart and are less similar than 0.8 by their letters."""
+    out = F.lit(False)
+    for w in words:
+        out = out | (F.contains(a, F.lit(w)) != F.contains(b, F.lit(w)))
+    return out | ((F.substring(a, 1, 4) != F.substring(b, 1, 4)) & (similarity.letter_bound(a, b) < 0.8))

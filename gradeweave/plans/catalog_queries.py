@@ -284,3 +284,54 @@ def playlist_rewrite(spark, sf_dir):
     e = _e(spark, sf_dir)
     lines = m3u.render(e).join(e.select("playlist", "line_no", "entry_id"), ["playlist", "line_no"]).join(playlist.rekeyed(e, _guide(spark, sf_dir)), "entry_id")
     return lines.select("playlist", "line_no", m3u.set_attribute(F.col("text"), "tvg-id", F.col("new_id")).alias("text"))
+
+
+_AUTO = lambda x: f"'auto.' || lower(CASE WHEN {nn(x)} = '' THEN 'canal' ELSE {nn(x)} END)"
+
+
+@query(f"""WITH n AS (SELECT entry_id, display_name AS name, {_AUTO('display_name')} AS id FROM playlist_entries WHERE display_name IS NOT NULL), f AS (SELECT id, arg_min(name, (entry_id, name)) AS fn FROM n GROUP BY 1)
+SELECT entry_id, CASE WHEN name = fn THEN id ELSE id || '.' || substr(sha1(name), 1, 8) END AS id FROM n JOIN f USING (id)""")
+def stable_ids(spark, sf_dir):
+    return catalog.stable_ids(_e(spark, sf_dir), "entry_id", "display_name")
+
+
+@query(f"""SELECT entry_id, CASE WHEN {_COUNTRY('display_name')} != '' AND NOT regexp_matches({rewrite('display_name', ('unescape', 'upper'))}, '^USA (?:NETWORK|HD)') THEN {rewrite('display_name', (*names.QUALITY_STRIP, 'unaccent', 'upper'))}
+ ELSE {rewrite('display_name', (*names.QUALITY_STRIP, 'unaccent', 'upper', *names.REWRITES, 'squeeze'))} END AS name FROM playlist_entries WHERE display_name IS NOT NULL""")
+def name_rewrites(spark, sf_dir):
+    return _e(spark, sf_dir).select("entry_id", names.rewritten(F.col("display_name")).alias("name"))
+
+
+_NUP, _GUP = rewrite("display_name", ("unaccent", "upper")), rewrite("coalesce(group_title, '')", ("unaccent", "upper"))
+_GROUP_NETS = ("ABERTOS", "INFANTIL", "NOTICIAS")
+
+
+@query(f"SELECT entry_id, CASE WHEN {' OR '.join(f'contains({_NUP}, {lit(x)})' for x in _GROUP_NETS)} THEN {_NUP} {' '.join(f'WHEN contains({_GUP}, {lit(x)}) THEN {lit(x + chr(32))} || {_NUP}' for x in _GROUP_NETS)} ELSE {_NUP} END AS name FROM playlist_entries WHERE display_name IS NOT NULL")
+def network_by_group(spark, sf_dir):
+    return _e(spark, sf_dir).select("entry_id", names.with_network(F.col("display_name"), F.col("group_title"), _GROUP_NETS).alias("name"))
+
+
+@query()
+def compound_ids(spark, sf_dir):
+    return _c(spark, sf_dir).select("chan_row_id", F.array_join(names.compound_candidates(F.col("channel_id")), "|").alias("candidates")).filter("candidates != ''")
+
+
+_EXP = (("^AURORA ", "AURORA NACIONAL"), ("^BRISA ", "BRISA NACIONAL"), ("^CASCATA ", "CASCATA NACIONAL"))
+
+
+@query(_tiers_sql() + f", ex AS (SELECT d.key, a AS alias FROM channel_dictionary d JOIN (VALUES {', '.join(f'({lit(t)}, {lit(a)})' for t, a in _EXP)}) v(t, a) ON regexp_matches(upper(d.name), t)) "
+       "SELECT key, tier::INT AS tier, count(*) AS n_aliases FROM ti GROUP BY ALL UNION ALL SELECT key, 3, count(DISTINCT alias) FROM ex GROUP BY key")
+def tier_expansion(spark, sf_dir):
+    x = spark.createDataFrame(list(_EXP), "trigger string, alias string")
+    return match.tiers(_d(spark, sf_dir), x).groupBy("key", "tier").agg(F.count("*").alias("n_aliases"))
+
+
+_VETO = " OR ".join(f"contains(a, {lit(w)}) != contains(b, {lit(w)})" for w in match.TELLING_WORDS)
+
+
+@query(f"""{_tiers_sql()}, {_PC}, aa AS (SELECT DISTINCT key, norm AS a, array_to_string(regexp_extract_all(norm, '\\d+'), ',') AS dg FROM ti WHERE length(norm) >= {match.FUZZY_LENGTH}),
+bb AS (SELECT DISTINCT source, channel_id, b, array_to_string(regexp_extract_all(b, '\\d+'), ',') AS dg FROM (SELECT source, channel_id, {nn('display_names[1]')} AS b FROM pc) WHERE b != ''),
+pr AS (SELECT *, 2.0::DOUBLE * ({_COMMON} + {_REST}) / (length(a) + length(b)) AS lb FROM aa JOIN bb USING (dg) WHERE 2.0::DOUBLE * least(length(a), length(b)) / (length(a) + length(b)) >= {match.FUZZY_BOUND})
+SELECT key, count(*) AS n_pairs, count(*) FILTER (({_VETO}) OR (substr(a, 1, 4) != substr(b, 1, 4) AND lb < 0.8)) AS n_vetoed FROM pr WHERE lb >= {match.FUZZY_BOUND} GROUP BY key""")
+def fuzzy_veto(spark, sf_dir):
+    p = match.fuzzy_pairs(match.tiers(_d(spark, sf_dir)), _pc(spark, sf_dir))
+    return p.groupBy("key").agg(F.count("*").alias("n_pairs"), F.count_if(match.veto(F.col("a"), F.col("b"))).alias("n_vetoed"))

@@ -152,3 +152,20 @@ def gap_fill(spark, sf_dir):
 def fused_schedule(spark, sf_dir):
     t, r = _timeline(spark, sf_dir)
     return fuse.with_metadata(materialise(t), r).select("entry", "s", "e", "title", "sub_title", F.length("desc").alias("desc_chars"), "season", "episode", F.array_join("categories", ",").alias("categories"), "date", "rating_badge")
+
+
+_M = "m.meta"
+
+
+@query(f"""{REPAIRED}, x AS (SELECT *, {_ENTRY} AS entry FROM f), li AS (SELECT entry, s, min(e) AS e, norm, min(title) AS title FROM x WHERE e > {NOW} - 21600 AND s < {NOW} + 259200 GROUP BY entry, s, norm),
+ne AS (SELECT li.entry, li.s, li.norm, m.row_id, m.s AS s2, m.meta FROM li JOIN x m ON m.entry = li.entry AND m.norm = li.norm AND abs(m.s - li.s) <= 1500)
+SELECT entry, s, norm, length(arg_max(coalesce(meta.desc, ''), (length(coalesce(meta.desc, '')), -row_id)))::INT AS desc_chars, length(arg_max(coalesce(meta.sub_title, ''), (length(coalesce(meta.sub_title, '')), -row_id)))::INT AS sub_chars,
+ coalesce(arg_min(meta.season, (s2, row_id)) FILTER (meta.season IS NOT NULL), 0) AS season, coalesce(arg_min(meta.rating_badge, (s2, row_id)) FILTER (coalesce(meta.rating_badge, '') != ''), '') AS badge,
+ array_to_string(list_sort(list_distinct(flatten(list(coalesce(meta.categories, []))))), ',') AS categories FROM ne GROUP BY ALL""")
+def metadata_fusion(spark, sf_dir):
+    r = entries(spark, sf_dir)
+    near = r.filter((F.col("e") > NOW - 21600) & (F.col("s") < NOW + 259200))
+    line = near.groupBy("entry", "s", "norm").agg(F.min("e").alias("e"), F.min("title").alias("title"), F.min("source").alias("source"))
+    m = fuse.near_metadata(line, r)
+    return m.select("entry", "s", "norm", F.length(F.coalesce("desc", F.lit(""))).alias("desc_chars"), F.length(F.coalesce("sub_title", F.lit(""))).alias("sub_chars"), F.coalesce("season", F.lit(0)).alias("season"),
+                    F.coalesce("rating_badge", F.lit("")).alias("badge"), F.array_join("categories", ",").alias("categories"))
