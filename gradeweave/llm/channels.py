@@ -89,6 +89,7 @@ class Parser:
             if len(words) >= 2 and not any(w in _GENRE or w.isdigit() for w in words):
                 ends.setdefault(" ".join(words[:-1]), set()).add(words[-1])
         self.networks = set(ends)
+        self._longest = 1 + max(len(w) for w in (*_GENRE, *self.networks))
         self._near = {d: w for w in sorted(set(_GENRE) | {n for n in self.networks if " " not in n}) if len(w) >= 5 for d in deletions(w)}
 
     @staticmethod
@@ -110,7 +111,7 @@ class Parser:
 
     def _word(self, w: str) -> str:
         """The genre word or network of which w is a slip, or w."""
-        if w in _GENRE or w in self.networks or len(w) < 5:
+        if w in _GENRE or w in self.networks or not 5 <= len(w) <= self._longest:
             return w
         hit = next((self._near[d] for d in sorted(deletions(w), key=len, reverse=True) if d in self._near), None)
         return hit if hit and near(w, hit) else w

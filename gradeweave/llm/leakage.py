@@ -6,7 +6,7 @@ at once; occurrences are located by walking to sampled positions and merged into
 that no item holds stand in no passage, so runs of fewer than ``min_words`` known words are left out of the index
 without loss. The corpus is neither shuffled nor collected; items are taken in blocks, so their number is not limited.
 
-Defined results: NULL and empty texts and items shorter than ``min_words`` hold no passage; documents of any length are
+Defined results: NULL and empty texts and items shorter than ``min_words`` hold no passage; documents without an id are left out; documents of any length are
 indexed whole; repeated documents and items are each reported; an empty table gives an empty result; extra columns are
 not read.
 """
@@ -199,7 +199,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     Character offsets count in the text with its entities resolved. Spans of one document may overlap between items.
     """
     spark = docs.sparkSession
-    corpus = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).filter("t IS NOT NULL AND t != ''")
+    corpus = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).filter("d IS NOT NULL AND t IS NOT NULL AND t != ''")
     kind = dict(corpus.dtypes)["d"]
     schema = f"{doc_id} {kind}, {item_id} bigint, first_word int, last_word int, char_start int, char_stop int"
     held = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).filter("i IS NOT NULL AND t IS NOT NULL")
