@@ -123,7 +123,7 @@ def season_episode(spark, sf_dir):
 
 
 _R = "upper(trim(coalesce(rating_badge, '')))"
-_AGE = f"regexp_extract({_R}, '(?:^|[^0-9A-Z])(10|12|14|16|18)\\b', 1)"
+_AGE = f"regexp_extract({_R}, '(?:^|[^0-9A-Z_])(10|12|14|16|18)\\b', 1)"
 
 
 @query(f"SELECT row_id, CASE WHEN contains({_R}, 'LIVRE') THEN 'L' WHEN {_AGE} != '' THEN {_AGE} {' '.join(f'WHEN {_R} = {lit(k)} THEN {lit(v)}' for k, v in titles.RATINGS.items())} ELSE '' END AS rating FROM candidate_rows")
