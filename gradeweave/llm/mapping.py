@@ -111,7 +111,7 @@ def map_names(names: DataFrame, dictionary: DataFrame, threshold: float = THRESH
         .when((F.col("b.e_genre") != F.col("genre")) | ((F.col("b.e_number") != F.col("number")) & ~(F.col("bracketed") & (F.col("b.e_number") == ""))), "different")
         .when(~same("core", "b.e_core", "b.e_network"), "different").otherwise("mapped").alias("status"))
     return parsed.join(judged, "form", "left").select(
-        "name", F.when(F.col("status") == "mapped", F.col("entry")).alias("entry"), F.col("entry").alias("nearest"), F.round("score", 4).alias("score"),
+        "name", F.when(F.col("usable") & (F.col("status") == "mapped"), F.col("entry")).alias("entry"), F.col("entry").alias("nearest"), F.round("score", 4).alias("score"),
         F.when(~F.col("usable"), "not a channel").otherwise(F.coalesce("status", F.lit("unknown"))).alias("status"))
 
 
