@@ -119,3 +119,17 @@ ORACLE = {
     "p7_merged": _LONG + f"""SELECT airing_id, n_rows, {", ".join(f"max(v) FILTER (field = '{f}')" + f" AS {f}" for f in survivors.FIELDS)}
 FROM (SELECT airing_id, count(*) AS n_rows FROM r GROUP BY 1) LEFT JOIN (SELECT * FROM o WHERE k = 1) USING (airing_id) GROUP BY 1, 2""",
 }
+
+#: Named entities of accented letters, which the database does not resolve by itself.
+_LETTERS = {"acute": "aeiouAEIOU", "grave": "aeiouAEIOU", "circ": "aeiouAEIOU", "tilde": "anoANO", "uml": "aeiouAEIOU", "cedil": "cC"}
+_TEXT = "text"
+for _mark, _of in _LETTERS.items():
+    for _l in _of:
+        _TEXT = f"replace({_TEXT}, '&{_l}{_mark};', '{_l}')"
+for _a, _b in (("&nbsp;", " "), ("&quot;", " "), ("&#39;", " "), ("&lt;", " "), ("&gt;", " "), ("&amp;", " ")):
+    _TEXT = f"replace({_TEXT}, '{_a}', '{_b}')"
+ORACLE["p8_found"] = f"""
+WITH w AS (SELECT 0 AS side, doc_id AS id, regexp_extract_all(lower(strip_accents({_TEXT})), '[a-z0-9]+') AS w FROM documents UNION ALL SELECT 1, item_id, regexp_extract_all(lower(strip_accents({_TEXT})), '[a-z0-9]+') FROM eval_items),
+g AS (SELECT side, id, array_to_string(w[k:k + 9], ' ') AS gram FROM (SELECT *, unnest(range(1, len(w) - 8)) AS k FROM w WHERE len(w) >= 10))
+SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM g d JOIN g i USING (gram) WHERE d.side = 0 AND i.side = 1
+"""
