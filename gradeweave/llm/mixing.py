@@ -31,6 +31,8 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Labelled texts per source that the classifier is fitted on, and held out.
 TRAIN_TEXTS, HELD_OUT = 2_000, 500
+#: What the classifier's sample takes of one text; all texts are judged and counted whole.
+TRAIN_CHARS = 4_000
 FEATURES = 1 << 14
 HEATS = (0.0, 0.003, 0.01, 0.03, 0.1, 0.3, 1.0)
 #: How much likelier a text is of the source it is labelled with than of any other, its words apart.
@@ -93,7 +95,7 @@ def _training(docs: DataFrame, labels: list[str]) -> list[tuple[str, str]]:
     """At most TRAIN_TEXTS + HELD_OUT texts per source, those of the smallest hashes; source by source, so no group is gathered."""
     out: list[tuple[str, str]] = []
     for s in labels:
-        rows = docs.filter(F.col("source") == s).select("source", F.substring("text", 1, 20_000).alias("text"), F.xxhash64("text").alias("h"))
+        rows = docs.filter(F.col("source") == s).select("source", F.substring("text", 1, TRAIN_CHARS).alias("text"), F.xxhash64("text").alias("h"))
         out += [(r.source, r.text) for r in rows.orderBy("h", "text").limit(TRAIN_TEXTS + HELD_OUT).collect()]
     return out
 
