@@ -112,9 +112,17 @@ def country(c: Column) -> Column:
     return F.when(t.rlike(r"^USA (?:NETWORK|HD|FHD|SD|UHD|4K)\b"), "").when(code == "USA", "US").when(code == "AR", "ARG").otherwise(code)
 
 
-def states(c: Column) -> Column:
-    """Sorted federal units that a name's key holds as words."""
-    return F.array_sort(F.array_intersect(F.array_distinct(F.split(name_key(c), " ")), F.array(*(F.lit(u) for u in UFS))))
+def states(c: Column, places: dict[str, str] | None = None) -> Column:
+    """Sorted federal units that a name's key holds as words; ``places`` maps further words, and those of six letters or
+    more also within the key without blanks, to their unit."""
+    words = F.array_distinct(F.split(name_key(c), " "))
+    found = F.array_intersect(words, F.array(*(F.lit(u) for u in UFS)))
+    if places:
+        table = F.create_map(*(F.lit(x) for kv in places.items() for x in kv))
+        joined = F.regexp_replace(name_key(c), " ", "")
+        long = F.array(*(F.when(F.contains(joined, F.lit(k)), F.lit(v)) for k, v in places.items() if len(k) >= 6))
+        found = F.array_compact(F.array_distinct(F.concat(found, F.transform(words, lambda w: table[w]), long)))
+    return F.array_sort(found)
 
 
 def number_conflict(a: Column, b: Column) -> Column:

@@ -36,3 +36,14 @@ def letter_bound(a: Column, b: Column, alphabet: str = "ABCDEFGHIJKLMNOPQRSTUVWX
     common = sum((F.least(count(a, x), count(b, x)) for x in alphabet), F.lit(0))
     rest = F.least(*(F.length(F.translate(c, alphabet, "")) for c in (a, b)))
     return F.lit(2.0) * (common + rest) / F.greatest(F.length(a) + F.length(b), F.lit(1))
+
+
+def name_similarity(a: Column, b: Column) -> Column:
+    """0 where digits or states of two normalised names differ, 1 where they are equal, else the ratio, lifted to the ratio
+    of lengths where one of five or more letters holds the other."""
+    from .names import digits, states
+
+    x, y = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
+    region = (F.size(states(a)) > 0) & (F.size(states(b)) > 0) & (states(a) != states(b))
+    lifted = F.when((x >= 5) & (F.contains(a, b) | F.contains(b, a)), F.greatest(ratio(a, b), x / y)).otherwise(ratio(a, b))
+    return F.when((a == "") | (b == "") | (digits(a) != digits(b)) | region, 0.0).when(a == b, 1.0).otherwise(lifted)

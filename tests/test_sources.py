@@ -74,6 +74,16 @@ def test_pages(spark):
     assert (d.year, d.month, d.day) == (2027, 1, 3)
 
 
+def test_clock_texts(spark):
+    l = spark.createDataFrame([("c", "2026-11-10", "23h30 - 00h15 | Filme | A Casa"), ("c", "2026-11-10", "nada")], "channel_id string, d string, text string").withColumn("day", F.to_date("d"))
+    r = feeds.clock_ranges(l, "t").collect()
+    assert [(x.title, x.genre, (x.stop - x.start).seconds) for x in r] == [("A Casa", "Filme", 2700)]
+    b = spark.createDataFrame([("c", i, t, n) for i, (t, n) in enumerate([("22:00", "A"), ("23:30", "B"), ("23:30", "B2"), ("00:30", "C"), ("09:00", "D")])], "channel_id string, seq int, clock string, title string").withColumn("day", F.lit("2026-11-10").cast("date"))
+    r = feeds.clock_blocks(b, "a").orderBy("start").collect()
+    assert [(x.title, x.start.day, (x.stop - x.start).seconds // 60) for x in r] == [("A", 10, 90), ("B", 10, 60), ("C", 11, 120), ("D", 11, 60)]
+    assert spark.createDataFrame([("Comedy",), ("X",)], "g string").select(feeds.translated_genre(F.col("g")).alias("g")).collect()[0].g == "Comédia"
+
+
 def test_only_missing(spark):
     main = spark.createDataFrame([("a", i) for i in range(5)] + [("b", 1)], "channel_id string, n int")
     spare = spark.createDataFrame([("a", 9), ("b", 9), ("c", 9)], "channel_id string, n int")
