@@ -30,6 +30,20 @@ def length_bound(a: Column, b: Column) -> Column:
     return F.lit(2.0) * F.least(F.length(a), F.length(b)) / F.greatest(F.length(a) + F.length(b), F.lit(1))
 
 
+def letters_mask(c: Column, alphabet: str = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") -> Column:
+    """A bit for each letter of the alphabet that the text holds; other characters set none."""
+    out = F.lit(0).cast("bigint")
+    for i, x in enumerate(alphabet):
+        out = out.bitwiseOR(F.when(F.contains(c, F.lit(x)), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+    return out
+
+
+def mask_bound(n: Column, m: Column, mask_n: Column, mask_m: Column) -> Column:
+    """What the ratio can reach at most, by lengths and the letters that only one text holds: each is one loss at least."""
+    only = lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))
+    return F.lit(2.0) * F.least(n - only(mask_n, mask_m), m - only(mask_m, mask_n)) / F.greatest(n + m, F.lit(1))
+
+
 def letter_bound(a: Column, b: Column, alphabet: str = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") -> Column:
     """What the ratio can reach at most by the letters both have, counted; other characters count as common."""
     count = lambda c, x: F.length(c) - F.length(F.replace(c, F.lit(x)))

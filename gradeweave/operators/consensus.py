@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity
-from ..runtime import small
+from ..runtime import materialise, small
 from .schedule import CLOCK, HOUR
 
 TOLERANCE_S = 20 * 60
@@ -68,9 +68,9 @@ def shifted(rows: DataFrame, exact: bool = True) -> DataFrame:
     The probes move b against a; the first one that reaches 0.8 counts, else the earliest of the best ones, and only one
     that is better than no shift.
     """
-    base = agreements(rows.withColumn("shift", F.lit(0)), rows, exact)
+    base = materialise(agreements(rows.withColumn("shift", F.lit(0)), rows, exact))  # a row per pair, used three times
     weak = base.filter((F.col("comparable") >= MIN_COMPARABLE) & (F.col("agreement") < THRESHOLD)).select("entry", "a", "b")
-    moved = rows.join(weak.select("entry", F.col("b").alias("source")).distinct(), ["entry", "source"], "left_semi")
+    moved = rows.join(small(weak.select("entry", F.col("b").alias("source")).distinct()), ["entry", "source"], "left_semi")
     probes = agreements(moved.withColumn("shift", F.explode(F.array(*(F.lit(h) for h in SHIFTS)))), rows, exact)
     probes = probes.select("entry", F.col("a").alias("b"), F.col("b").alias("a"), F.col("shift").alias("h"), F.col("comparable").alias("n"), F.col("agreement").alias("g"), F.col("similarity").alias("m"))
     order = F.array_position(F.array(*(F.lit(h) for h in SHIFTS)), F.col("h"))

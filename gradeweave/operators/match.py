@@ -65,11 +65,12 @@ def fuzzy_pairs(aliases: DataFrame, channels: DataFrame) -> DataFrame:
 
     The join is on digits and length: each alias is spread over the lengths that the bound allows.
     """
-    a = aliases.select("key", F.col("norm").alias("a")).filter(F.length("a") >= FUZZY_LENGTH).distinct().withColumn("digits", names.digits(F.col("a")))
+    a = aliases.select("key", F.col("norm").alias("a")).filter(F.length("a") >= FUZZY_LENGTH).distinct().withColumn("digits", names.digits(F.col("a"))).withColumn("mask_a", similarity.letters_mask(F.col("a")))
     low, high = FUZZY_BOUND / (2 - FUZZY_BOUND), (2 - FUZZY_BOUND) / FUZZY_BOUND
     a = a.withColumn("n", F.explode(F.sequence(F.ceil(F.length("a") * low).cast("int"), F.floor(F.length("a") * high).cast("int"))))
-    b = channel_names(channels).select("source", "channel_id", F.col("norm").alias("b")).distinct().withColumn("digits", names.digits(F.col("b"))).withColumn("n", F.length("b"))
-    return a.join(b, ["digits", "n"]).filter((similarity.length_bound(F.col("a"), F.col("b")) >= FUZZY_BOUND) & (similarity.letter_bound(F.col("a"), F.col("b")) >= FUZZY_BOUND)).drop("n")
+    b = channel_names(channels).select("source", "channel_id", F.col("norm").alias("b")).distinct().withColumn("digits", names.digits(F.col("b"))).withColumn("n", F.length("b")).withColumn("mask_b", similarity.letters_mask(F.col("b")))
+    near = similarity.mask_bound(F.length("a"), F.length("b"), F.col("mask_a"), F.col("mask_b")) >= FUZZY_BOUND  # cheap, so it comes first
+    return a.join(b, ["digits", "n"]).filter(near & (similarity.length_bound(F.col("a"), F.col("b")) >= FUZZY_BOUND) & (similarity.letter_bound(F.col("a"), F.col("b")) >= FUZZY_BOUND)).drop("n", "mask_a", "mask_b")
 
 
 def fuzzy(aliases: DataFrame, channels: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ sh AS (SELECT entry, a, b, CASE WHEN p.g > agreement THEN p.h ELSE 0 END AS shif
 
 @query(f"{_PAIRS}, {_SHIFTED} SELECT * FROM sh")
 def shift_detection(spark, sf_dir):
-    return C.shifted(C.near_window(entries(spark, sf_dir)))
+    return C.shifted(materialise(C.near_window(entries(spark, sf_dir))))
 
 
 def _candidates(spark, sf_dir):
