@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -10,15 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
+@lru_cache(1 << 16)  # a worker meets the same two texts in many batches
+def _one(a: str, b: str) -> float:
+    return SequenceMatcher(None, a, b).ratio()
+
+
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching blocks ratio; the order of the arguments matters, as does the default treatment of popular characters."""
-    seen: dict[tuple[str, str], float] = {}
-    out = []
-    for p in zip(a, b):
-        if p not in seen:
-            seen[p] = SequenceMatcher(None, p[0] or "", p[1] or "").ratio()
-        out.append(seen[p])
-    return pd.Series(out)
+    return pd.Series([_one(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
 
 
 def ratio(a: Column, b: Column) -> Column:

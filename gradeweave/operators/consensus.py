@@ -27,8 +27,13 @@ def near_window(rows: DataFrame, now: int = CLOCK) -> DataFrame:
 
 
 def _title_score(a: str, b: str, exact: bool) -> Column:
-    same = (F.col(a) != "") & (F.col(b) != "") & (F.contains(F.col(a), F.col(b)) | F.contains(F.col(b), F.col(a)))
-    return F.when(same, 1.0).otherwise(F.lit(0.0) if exact else F.when((F.col(a) != "") & (F.col(b) != ""), similarity.ratio(F.col(a), F.col(b))).otherwise(0.0))
+    """1 where one title holds the other, else 0 or their ratio; only titles that need one are given to Python."""
+    some = (F.col(a) != "") & (F.col(b) != "")
+    same = some & (F.contains(F.col(a), F.col(b)) | F.contains(F.col(b), F.col(a)))
+    if exact:
+        return F.when(same, 1.0).otherwise(0.0)
+    unlike = some & ~same
+    return F.when(same, 1.0).when(unlike, similarity.ratio(F.when(unlike, F.col(a)), F.when(unlike, F.col(b)))).otherwise(0.0)
 
 
 def agreements(left: DataFrame, right: DataFrame, exact: bool = True, bucket_s: int = BUCKET_S) -> DataFrame:
@@ -52,12 +57,9 @@ def agreements(left: DataFrame, right: DataFrame, exact: bool = True, bucket_s:
         .withColumn("time", F.greatest(F.col("o"), F.lit(1.0) - delta / F.lit(float(TOLERANCE_S)), F.lit(0.0)))
     )
     row = ["entry", "a", "b", "shift", "row_id"]
-    if exact:
-        best = pairs.groupBy(*row).agg(F.max(F.struct("time", _title_score("t1", "t2", True).alias("score"))).alias("m")).select(*row, F.col("m.score").alias("score"))
-    else:  # ratios are computed in Python: for the best times only, among which the title score decides
-        top = pairs.groupBy(*row).agg(F.max("time").alias("time"))
-        titles = pairs.join(top, [*row, "time"]).select(*row, "t1", "t2").distinct()
-        best = titles.withColumn("score", _title_score("t1", "t2", False)).groupBy(*row).agg(F.max("score").alias("score"))
+    # scored where the pairs are joined: only the best per row are shuffled, in partial results
+    scored = pairs.withColumn("score", _title_score("t1", "t2", exact))
+    best = scored.groupBy(*row).agg(F.max(F.struct("time", "score")).alias("m")).select(*row, F.col("m.score").alias("score"))
     return best.groupBy("entry", "a", "b", "shift").agg(
         F.count("*").alias("comparable"), F.round(F.sum(F.when(F.col("score") >= AGREED, 1).otherwise(0)) / F.count("*"), 4).alias("agreement"), F.round(F.avg("score"), 4).alias("similarity"))
 

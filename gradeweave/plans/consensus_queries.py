@@ -70,6 +70,11 @@ def shift_detection(spark, sf_dir):
     return C.shifted(materialise(C.near_window(entries(spark, sf_dir))))
 
 
+@query()
+def shift_detection_ratio(spark, sf_dir):
+    return C.shifted(materialise(C.near_window(entries(spark, sf_dir))), exact=False)
+
+
 def _candidates(spark, sf_dir):
     r = materialise(entries(spark, sf_dir))
     h = S.health(r).withColumn("entry", S.same_channel_key(F.col("channel_id")))
@@ -77,9 +82,10 @@ def _candidates(spark, sf_dir):
     return r, best.select("entry", "source", "b.*", F.lit(1).alias("tier"))
 
 
-def evaluations(spark, sf_dir):
+def evaluations(spark, sf_dir, exact: bool = False):
+    """Rows, evaluated candidates and pairs; ``exact`` counts only titles that SQL finds alike, without their ratio."""
     r, cands = _candidates(spark, sf_dir)
-    pairs = materialise(C.shifted(C.near_window(r)))
+    pairs = materialise(C.shifted(C.near_window(r), exact))
     return r, C.evaluated(cands, pairs, load(spark, sf_dir, "sources")), pairs
 
 
@@ -102,20 +108,46 @@ _MERIT = """rk AS (SELECT *, row_number() OVER (PARTITION BY entry ORDER BY (n_r
 _FULL = f"{_NEAR.format(HEALTH)}, {_agree('ag', 'nr a', '0')}, {_SHIFTED}, {_CANDS}"
 
 
+def _confidence(ev):
+    return ev.select("entry", "source", "support_votes", "vote_sources", "support_families", "weighted_ratio", "avg_support", "confidence")
+
+
+def _winner(ev):
+    return C.ranked(ev).filter("rank = 1").select("entry", "source", "channel_id", "confidence")
+
+
+def _status(ev):
+    return C.validation(ev).select("entry", "source", "confidence", "status")
+
+
 @query(f"{_FULL} SELECT entry, source, support_votes, vote_sources, support_families, weighted_ratio, avg_support, confidence FROM ev")
 def consensus_confidence(spark, sf_dir):
-    ev = evaluations(spark, sf_dir)[1]
-    return ev.select("entry", "source", "support_votes", "vote_sources", "support_families", "weighted_ratio", "avg_support", "confidence")
+    return _confidence(evaluations(spark, sf_dir, exact=True)[1])
+
+
+@query()
+def consensus_confidence_ratio(spark, sf_dir):
+    return _confidence(evaluations(spark, sf_dir)[1])
 
 
 @query(f"{_FULL}, {_MERIT} SELECT entry, source, channel_id, confidence FROM rk WHERE rank = 1")
 def merit_winner(spark, sf_dir):
-    return C.ranked(evaluations(spark, sf_dir)[1]).filter("rank = 1").select("entry", "source", "channel_id", "confidence")
+    return _winner(evaluations(spark, sf_dir, exact=True)[1])
+
+
+@query()
+def merit_winner_ratio(spark, sf_dir):
+    return _winner(evaluations(spark, sf_dir)[1])
 
 
 @query(f"{_FULL}, {_MERIT} SELECT entry, source, confidence, CASE WHEN score < 0.45 THEN 'suspect' WHEN support_families >= 3 AND confidence >= 75 THEN 'ok' WHEN confidence >= 55 AND support_families >= 2 THEN 'attention' ELSE 'suspect' END AS status FROM rk WHERE rank = 1")
 def validation_status(spark, sf_dir):
-    return C.validation(evaluations(spark, sf_dir)[1]).select("entry", "source", "confidence", "status")
+    return _status(evaluations(spark, sf_dir, exact=True)[1])
+
+
+@query()
+def validation_status_ratio(spark, sf_dir):
+    return _status(evaluations(spark, sf_dir)[1])
 
 
 @query(f"""{HEALTH}, x AS (SELECT *, {_ENTRY} AS entry, {_RICH} AS rich FROM f), me AS (SELECT DISTINCT entry, source, 0.0::DOUBLE AS merit FROM x),
