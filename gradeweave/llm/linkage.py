@@ -34,8 +34,10 @@ from .channels import STATES, Parser, fold
 
 MAX_ENTRIES = 200_000
 RULES = ("confirmed", "name", "code", "slip", "cut", "lineup")
-#: A key of so many records without an identifier is taken as written.
+#: A key without an identifier is taken as written if it has so many records and, besides, this share of the records of
+#: the better supported key that is near: slips of a channel grow with its records.
 FIRM_ROWS = 6
+FIRM_SHARE = 0.1
 SHORT, FULL = 7, 8
 #: Longer keys are matched as they are written only: slips are sought among all variants of a key.
 LONGEST = 64
@@ -125,12 +127,12 @@ def corrections(keys: DataFrame) -> DataFrame:
     """key, rule, target for keys that are slips or short forms of a better supported key."""
     keys = keys.filter(F.length("core") <= LONGEST)
     better = (F.col("to.weight") > F.col("weight")) | ((F.col("to.weight") == F.col("weight")) & (F.col("to.key") < F.col("key")))
-    loose = keys.filter(f"NOT firm AND n_rows < {FIRM_ROWS}")
-    spread = keys.select("key", "weight", "core", "genre", "number", F.explode(_variants(F.col("core"))).alias("v"))
-    heads = spread.groupBy("v", "genre", "number").agg(F.min_by(F.struct("weight", "key", "core"), F.struct(-F.col("weight"), F.col("key"))).alias("to"))
+    loose = keys.filter("NOT firm")
+    spread = keys.select("key", "weight", "n_rows", "core", "genre", "number", F.explode(_variants(F.col("core"))).alias("v"))
+    heads = spread.groupBy("v", "genre", "number").agg(F.min_by(F.struct("weight", "key", "core", "n_rows"), F.struct(-F.col("weight"), F.col("key"))).alias("to"))
     slips = (
-        loose.select("key", "weight", "core", "genre", "number", F.explode(_variants(F.col("core"))).alias("v"))
-        .join(heads, ["v", "genre", "number"]).filter(better & _near(F.col("core"), F.col("to.core")))
+        loose.select("key", "weight", "n_rows", "core", "genre", "number", F.explode(_variants(F.col("core"))).alias("v"))
+        .join(heads, ["v", "genre", "number"]).filter(better & (F.col("n_rows") < FIRM_ROWS + FIRM_SHARE * F.col("to.n_rows")) & _near(F.col("core"), F.col("to.core")))
         .groupBy("key").agg(F.min_by("to", F.struct(-F.col("to.weight"), F.col("to.key"))).alias("to")).select("key", F.lit("slip").alias("rule"), F.col("to.key").alias("target"))
     )
     tail = F.element_at(F.split("core", " "), -1)

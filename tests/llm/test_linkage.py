@@ -36,6 +36,15 @@ def test_wrong_identifier(spark):
     assert pairs(spark, rows) == {(1, 2), (3, 4)}
 
 
+def test_slips_of_a_hot_channel(spark):
+    rows = [(i, "ab"[i % 2], str(i), ["Bodegavo Séries 2"]) for i in range(200)] + [(1000 + i, "cd"[i % 2], str(i), ["Bodegvao Séries 2"]) for i in range(9)]
+    rows += [(2000 + i, "ef"[i % 2], str(i), ["Mecanorivo Kids"]) for i in range(20)] + [(3000 + i, "gh"[i % 2], str(i), ["Mecanorivos Kids"]) for i in range(12)]  # two channels: neither is rare beside the other
+    df = spark.createDataFrame([(*r, *[None] * 5) for r in rows], SHAPE)
+    found = {r.rid: r["class"] for r in linkage.resolve(df, spark.createDataFrame(DICT, DSHAPE))[0].collect()}
+    assert len({found[r[0]] for r in rows[:209]}) == 1
+    assert len({found[r[0]] for r in rows[209:]}) == 2
+
+
 def test_empty(spark):
     assert pairs(spark, []) == set()
     assert pairs(spark, [(1, "a", "1", ["Bodegavo Kids"]), (2, "b", "1", ["Bodegavo Kids"])], []) == {(1, 2)}
