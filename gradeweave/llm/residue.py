@@ -206,13 +206,13 @@ class ResidueModel:
 
 
 def title_sample(df: DataFrame, text: str, rows: int = SAMPLE_ROWS) -> list[str]:
-    """At most ``rows`` different texts, the same for the same data: those of the smallest hashes within a hash range."""
-    total = df.count()
-    if not total:
-        return []
-    share = min(1.0, 6.0 * rows / total)
-    h = F.xxhash64(F.col(text))
+    """At most ``rows`` different texts, the same for the same data: those of the smallest hashes.
+
+    The hash range is sized by the number of different texts, so that repeated ones never thin the sample out.
+    """
     part = df.select(F.substring(text, 1, SAMPLE_CHARS).alias("t")).filter(F.col("t").isNotNull()).withColumn("h", F.xxhash64("t"))
+    distinct = part.agg(F.approx_count_distinct("h", 0.02)).first()[0]
+    share = min(1.0, 2.0 * rows / max(distinct, 1))
     if share < 1:
         part = part.filter(F.col("h") < int(-(2**63) + share * 2**64))
     return [r.t for r in part.groupBy("t").agg(F.min("h").alias("h")).orderBy("h", "t").limit(rows).select("t").collect()]

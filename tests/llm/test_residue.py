@@ -35,3 +35,10 @@ def test_held_out_seeds():
     n = len(seeds.lines(seeds.SCRIPTS))
     assert all(k for k in kinds[:n]) and not any(kinds[n:])
     assert ((share >= 0) & (share <= 1)).all()
+
+
+def test_sample_of_repeated_titles(spark):
+    df = frame(spark, [f"Jornal {i % 100}" for i in range(5000)])
+    got = residue.title_sample(df, "title", 50)
+    assert len(got) == len(set(got)) == 50
+    assert got == residue.title_sample(df.distinct().limit(5000).dropDuplicates(["title"]), "title", 50)
