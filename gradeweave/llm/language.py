@@ -3,7 +3,7 @@
 A bit-sliced Bloom filter holds one byte per slot with one bit per language; the AND of an n-gram's slots gives all
 languages that hold it. Each sentence counts, per language, its n-grams with that bit; the count is corrected by the
 language's share of false positives, and the best corrected count decides. Sentences of one language in a row form a
-segment. The filters are fitted on a bounded sample of documents (``sample_docs``), whose sentences get their language
+segment. The filters are fitted on a bounded sample of different texts (``sample_docs``), whose sentences get their language
 from function words; labels of documents are not used. Every document is then read where it lies, without a shuffle.
 
 Defined results: NULL, empty and blank texts and documents without an id have no segment; lines that are no sentences (titles, names, tags) count
@@ -221,15 +221,19 @@ def named_language(label: Column) -> Column:
 
 
 def doc_sample(docs: DataFrame, text: str, rows: int = SAMPLE_DOCS) -> list[str]:
-    """At most ``rows`` documents, the same for the same data: those of the smallest hashes within a hash range."""
-    total = docs.count()
-    if not total:
-        return []
-    part = docs.select(F.col(text).alias("t")).filter("t IS NOT NULL").withColumn("h", F.xxhash64("t"))
-    share = min(1.0, 3.0 * rows / total)
+    """At most ``rows`` different texts, the same for the same data: those of the smallest hashes.
+
+    Copies count once, in the sample and in the size of its hash range. Where the texts leave room, those with copies
+    stand there MIN_COUNT - 1 times: evidence in small tables, but never enough for the n-grams of one text alone.
+    """
+    part = docs.select(F.col(text).alias("t")).filter("t IS NOT NULL").select(F.substring("t", 1, SAMPLE_CHARS).alias("t"), F.xxhash64("t").alias("h"))
+    distinct = part.agg(F.approx_count_distinct("h", 0.02)).first()[0]
+    share = min(1.0, 2.0 * rows / max(distinct, 1))
     if share < 1:
         part = part.filter(F.col("h") < int(-(2**63) + share * 2**64))
-    return [r.t for r in part.select(F.substring("t", 1, SAMPLE_CHARS).alias("t"), "h").orderBy("h", "t").limit(rows).select("t").collect()]
+    got = part.groupBy("h").agg(F.min("t").alias("t"), F.count("*").alias("n")).orderBy("h").limit(rows).select("t", "n").collect()
+    again = [r.t for k in range(2, MIN_COUNT) for r in got if r.n >= k]
+    return [r.t for r in got] + again[: rows - len(got)]
 
 
 #: What the sample takes of one document; the filters are a model fitted on a bounded sample, the documents themselves are judged whole.

@@ -61,3 +61,11 @@ def test_sentences():
     got = [t for a, b, w in language.sentences("Um dois. três quatro! «a sombra em Vila. A».\nFim sem ponto") if w for t in ["Um dois. três quatro! «a sombra em Vila. A».\nFim sem ponto"[a:b]]]
     assert got == ["Um dois.", "três quatro!", "A»."]
     assert [w for _, _, w in language.sentences("O navio foi\nao porto. Depois")] == [True, False]
+
+
+def test_sample_without_copies(spark):
+    rows = [(i, f"texto {i}" if i % 3 else "o mesmo texto") for i in range(3000)]
+    got = language.doc_sample(spark.createDataFrame(rows, "doc_id bigint, text string"), "text", 100)
+    assert len(got) == len(set(got)) == 100
+    few = [(i, f"texto {i % 40}") for i in range(3000)]  # the range follows the texts, not the rows
+    assert len(language.doc_sample(spark.createDataFrame(few, "doc_id bigint, text string"), "text", 10)) == 10
