@@ -27,18 +27,42 @@ def test_empty_repeated_and_long(spark):
     assert got[0] == got[1] == "filler" and 2 not in got and got[3] == "template"
 
 
-def test_held_out_seeds():
-    """A model without a seed finds it again by what it shares with the others, or at least never takes a natural title for it."""
-    random.seed(0)
-    model = residue.ResidueModel(NATURAL)
-    kinds, share = model.judge([t.upper() for t in seeds.lines(seeds.SCRIPTS)] + NATURAL + seeds.lines(seeds.NATURAL))
-    n = len(seeds.lines(seeds.SCRIPTS))
-    assert all(k for k in kinds[:n]) and not any(kinds[n:])
-    assert ((share >= 0) & (share <= 1)).all()
-
-
-def test_sample_of_repeated_titles(spark):
-    df = frame(spark, [f"Jornal {i % 100}" for i in range(5000)])
-    got = residue.title_sample(df, "title", 50)
-    assert len(got) == len(set(got)) == 50
-    assert got == residue.title_sample(df.distinct().limit(5000).dropDuplicates(["title"]), "title", 50)
+def test_held_out_phrases():
+    """A model that never saw a fifth of the phrases of each kind finds them, and never takes a natural title for one."""
+    every = seeds.all_phrases()
+    order = {k: random.Random(5).sample(t, len(t)) for k, t in every.items()}
+    model = residue.fitted(NATURAL, {k: t[len(t) // 5:] for k, t in order.items()})
+    for k, t in order.items():
+        held = t[: len(t) // 5]
+        found = [x is not None for x in model.judge(held)[0]]
+        assert sum(found) >= 0.9 * len(found), k
+    kinds, share = model.judge(NATURAL)
+    assert not any(kinds) and ((share >= 0) & (share <= 1)).all()
+
+
+def test_held_out_patterns():
+    """Whole patterns are left out: what is found of them is found by the words they share with others."""
+    lines = {"error": seeds.ERRORS, "script": seeds.SCRIPTS}
+    for k, block in lines.items():
+        rows = block.strip().splitlines()
+        held = [x for r in rows[::5] for x in seeds.spelled(r)]
+        rest = set(seeds.all_phrases()[k]) - set(held)
+        model = residue.fitted(NATURAL, seeds.all_phrases() | {k: sorted(rest)})
+        assert sum(x is not None for x in model.judge(held)[0]) >= 0.4 * len(held), k
+
+
+def test_counts_cover_all_titles(spark):
+    """The distributed counts of different titles are those of one list, however often titles repeat."""
+    titles = [f"Jornal {i} da Serra" for i in range(700)]
+    df = frame(spark, titles * 3).repartition(7).select(F.col("title").alias("t")).distinct()
+    got, want = residue.natural_counts(df, residue.Seeded()), residue.Counts.usual().add(titles)
+    assert all((got.sums[k] == want.sums[k]).all() for k in want.sums)
+
+
+def test_seeds_are_no_titles(spark):
+    """Seeds of more than three words are made by rule; a table's phrases must not creep in."""
+    from conftest import SF
+
+    seen = {residue.plain(residue.fold(r.title)) for r in spark.read.parquet(f"{SF}/programmes.parquet").select("title").distinct().filter("title IS NOT NULL").collect()}
+    made = {t for v in seeds.all_phrases().values() for t in v}
+    assert len({t for t in made & seen if len(t.split()) > 3}) < 0.002 * len(made)
