@@ -3,8 +3,10 @@
 A record's canonical text keeps letters and digits in small letters, its list sorted. Each partition marks the hashes
 of these texts in two Bloom filters, of hashes seen and of hashes seen again; partitions are merged by OR, where a
 bit set in both "seen" filters is set in "seen again" as well. Only records whose hash may have been seen again are
-shuffled and grouped exactly; all others are single and stay where they are. The filters have at most ``MAX_BITS``
-bits; beyond that they let more single records through, and the result stays exact.
+shuffled and grouped exactly; all others are single and stay where they are. A filter has at most ``MAX_BITS`` bits for
+as many hashes as fill it well: more records are cut into ranges of hashes with a filter each, so that filters neither
+saturate nor outgrow an executor however many records there are. All filters are built in one pass; each range then
+reads the records once more.
 
 Defined results: NULL equals NULL and differs from ''; a NULL list equals an empty one; a NULL in a list counts as an
 element; lists are compared as they are, so a repeated element counts twice; a repeated id is the same record; an empty
@@ -21,12 +23,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import join_groups
+from ..runtime import join_groups, materialise
 
 HASHES = 4
 BITS_PER_RECORD = 16
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 28
 CHUNK = 1 << 13  # bytes
+#: Partitions whose filters are merged in the first step.
+MERGED = 64
 
 
 def letters_and_digits(text: Column) -> Column:
@@ -59,18 +63,20 @@ def _mark(words: np.ndarray, slots: list[np.ndarray]) -> None:
 
 
 def _partition_filters(parts: Iterator[pd.DataFrame], bits: int) -> Iterator[pd.DataFrame]:
-    once, again = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+    """Both filters of each range of hashes that the partition holds, one range after the other."""
+    mine: dict[int, list[np.ndarray]] = {}
     for p in parts:
-        values, counts = np.unique(p["h"].to_numpy(), return_counts=True)
+        part, h = p["part"].to_numpy(), p["h"].to_numpy()
+        for r in np.unique(part):
+            mine.setdefault(int(r), []).append(h[part == r])
+    for r, hashes in sorted(mine.items()):
+        once, again = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+        values, counts = np.unique(np.concatenate(hashes), return_counts=True)
         slots = _slots(values, bits)
-        more = (counts > 1) | _holds(once, slots)
-        _mark(again, [s[more] for s in slots])
+        _mark(again, [s[counts > 1] for s in slots])
         _mark(once, slots)
-    rows = []
-    for c in range(0, len(once), CHUNK):
-        if once[c:c + CHUNK].any():
-            rows.append((c // CHUNK, zlib.compress(once[c:c + CHUNK].tobytes(), 1), zlib.compress(again[c:c + CHUNK].tobytes(), 1)))
-    yield pd.DataFrame(rows, columns=["chunk", "once", "again"])
+        rows = [(r, c // CHUNK, zlib.compress(once[c:c + CHUNK].tobytes(), 1), zlib.compress(again[c:c + CHUNK].tobytes(), 1)) for c in range(0, len(once), CHUNK) if once[c:c + CHUNK].any()]
+        yield pd.DataFrame(rows, columns=["part", "chunk", "once", "again"])
 
 
 def _merge(p: pd.DataFrame) -> pd.DataFrame:
@@ -78,18 +84,22 @@ def _merge(p: pd.DataFrame) -> pd.DataFrame:
     for a, b in zip(p["once"], p["again"]):
         a, b = (np.frombuffer(zlib.decompress(x), np.uint8) for x in (a, b))
         once, again = (a, b) if once is None else (once | a, again | b | (once & a))
-    return pd.DataFrame({"chunk": [p["chunk"].iloc[0]], "again": [zlib.compress(again.tobytes(), 1)]})
+    return pd.DataFrame({c: [p[c].iloc[0]] for c in p.columns if c not in ("once", "again")} | {"once": [zlib.compress(once.tobytes(), 1)], "again": [zlib.compress(again.tobytes(), 1)]})
 
 
-def repeat_filter(hashes: DataFrame, records: int) -> np.ndarray:
-    """Bits of the hashes (column h) that may occur twice. The result is at most MAX_BITS / 8 bytes."""
-    bits = min(max(MIN_BITS, 1 << (max(records, 1) * BITS_PER_RECORD - 1).bit_length()), MAX_BITS)
-    parts = hashes.mapInPandas(lambda it: _partition_filters(it, bits), "chunk int, once binary, again binary")
-    words = np.zeros(bits // 8, np.uint8)
-    for r in parts.groupBy("chunk").applyInPandas(_merge, "chunk int, again binary").toLocalIterator():
-        got = np.frombuffer(zlib.decompress(r.again), np.uint8)
-        words[r.chunk * CHUNK:r.chunk * CHUNK + len(got)] = got
-    return words
+def _layout(records: int) -> tuple[int, int]:
+    """Bits of a filter and number of ranges for so many records."""
+    need = max(records, 1) * BITS_PER_RECORD
+    return min(max(MIN_BITS, 1 << (need - 1).bit_length()), MAX_BITS), -(-need // MAX_BITS)
+
+
+def repeat_filters(hashes: DataFrame, bits: int) -> DataFrame:
+    """part, chunk, again: the merged filters of hashes (columns part and h) that may occur twice."""
+    shape = "part int, chunk int, once binary, again binary"
+    made = hashes.mapInPandas(lambda it: _partition_filters(it, bits), shape)
+    # in two steps, so that no task merges the chunks of all partitions at once
+    half = made.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(MERGED))).groupBy("part", "chunk", "g").applyInPandas(_merge, "part int, chunk int, g int, once binary, again binary")
+    return half.drop("g").groupBy("part", "chunk").applyInPandas(_merge, shape).drop("once")
 
 
 def split(records: DataFrame, rec_id: str = "rec_id", name: str = "name", aliases: str = "aliases") -> tuple[DataFrame, int]:
@@ -97,14 +107,26 @@ def split(records: DataFrame, rec_id: str = "rec_id", name: str = "name", aliase
     rows = records.select(F.col(rec_id).alias("id"), F.col(name).alias("name"), F.col(aliases).alias("aliases"), canonical(name, aliases).alias("canon")).filter("id IS NOT NULL")
     total = rows.count()
     spark = records.sparkSession
-    words = spark.sparkContext.broadcast(repeat_filter(rows.select(F.xxhash64("canon").alias("h")), total))
-
-    @F.pandas_udf("boolean")
-    def maybe(h: pd.Series) -> pd.Series:
-        w = words.value
-        return pd.Series(_holds(w, _slots(h.to_numpy(), len(w) * 8)))
-
-    return rows.withColumn("maybe", maybe(F.xxhash64("canon"))), total
+    bits, ranges = _layout(total)
+    hashed = rows.withColumn("h", F.xxhash64("canon")).withColumn("part", F.pmod(F.xxhash64("h"), F.lit(ranges)).cast("int"))
+    filters = repeat_filters(hashed.select("part", "h"), bits)
+    filters = materialise(filters) if ranges > 1 else filters
+    out = None
+    for r in range(ranges):
+        words = np.zeros(bits // 8, np.uint8)
+        for x in filters.filter(F.col("part") == r).toLocalIterator():  # at most MAX_BITS / 8 bytes
+            got = np.frombuffer(zlib.decompress(x.again), np.uint8)
+            words[x.chunk * CHUNK:x.chunk * CHUNK + len(got)] = got
+        held = spark.sparkContext.broadcast(words)
+
+        @F.pandas_udf("boolean")
+        def maybe(h: pd.Series, held=held) -> pd.Series:
+            w = held.value
+            return pd.Series(_holds(w, _slots(h.to_numpy(), len(w) * 8)))
+
+        one = hashed.filter(F.col("part") == r).withColumn("maybe", maybe(F.col("h"))).drop("h", "part")
+        out = one if out is None else out.unionByName(one)
+    return out, total
 
 
 def copies(records: DataFrame, rec_id: str = "rec_id", name: str = "name", aliases: str = "aliases") -> DataFrame:

@@ -56,7 +56,7 @@ def test_filter_has_no_false_negatives():
     h = rng.integers(-(2**63), 2**63 - 1, 20_000)
     h[:4000] = h[4000:8000]
     rng.shuffle(h)
-    parts = [pd.DataFrame(next(formatting._partition_filters(iter([pd.DataFrame({"h": x})]), 1 << 19))) for x in np.array_split(h, 7)]
+    parts = [pd.DataFrame(next(formatting._partition_filters(iter([pd.DataFrame({"part": 0, "h": x})]), 1 << 19))) for x in np.array_split(h, 7)]
     words = np.zeros((1 << 19) // 8, np.uint8)
     import zlib
 
@@ -66,3 +66,16 @@ def test_filter_has_no_false_negatives():
     u, n = np.unique(h, return_counts=True)
     held = formatting._holds(words, formatting._slots(u, 1 << 19))
     assert held[n > 1].all() and held[n == 1].mean() < 0.05
+
+
+def test_many_ranges(spark, monkeypatch):
+    """More records than one filter holds: ranges with a filter each, the same result, and filters that do not saturate."""
+    monkeypatch.setattr(formatting, "MIN_BITS", 1 << 9)
+    monkeypatch.setattr(formatting, "MAX_BITS", 1 << 12)
+    random.seed(2)
+    rows = [(i, None, f"Canal {random.randrange(1500)}", ["x"]) for i in range(2000)]
+    assert formatting._layout(len(rows))[1] == 8
+    check(spark, rows)
+    single = [(i, None, f"Canal {i}", None) for i in range(2000)]
+    maybe, _ = formatting.split(spark.createDataFrame(single, SHAPE).repartition(5))
+    assert maybe.filter("maybe").count() < 200
