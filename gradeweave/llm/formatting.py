@@ -102,6 +102,15 @@ def repeat_filters(hashes: DataFrame, bits: int) -> DataFrame:
     return half.drop("g").groupBy("part", "chunk").applyInPandas(_merge, shape).drop("once")
 
 
+def _tester(held):
+    @F.pandas_udf("boolean")
+    def maybe(h: pd.Series) -> pd.Series:
+        w = held.value
+        return pd.Series(_holds(w, _slots(h.to_numpy(), len(w) * 8)))
+
+    return maybe
+
+
 def split(records: DataFrame, rec_id: str = "rec_id", name: str = "name", aliases: str = "aliases") -> tuple[DataFrame, int]:
     """(id, name, aliases, canon, maybe) with ``maybe`` true wherever the canonical text may occur again; number of records."""
     rows = records.select(F.col(rec_id).alias("id"), F.col(name).alias("name"), F.col(aliases).alias("aliases"), canonical(name, aliases).alias("canon")).filter("id IS NOT NULL")
@@ -117,14 +126,7 @@ def split(records: DataFrame, rec_id: str = "rec_id", name: str = "name", aliase
         for x in filters.filter(F.col("part") == r).toLocalIterator():  # at most MAX_BITS / 8 bytes
             got = np.frombuffer(zlib.decompress(x.again), np.uint8)
             words[x.chunk * CHUNK:x.chunk * CHUNK + len(got)] = got
-        held = spark.sparkContext.broadcast(words)
-
-        @F.pandas_udf("boolean")
-        def maybe(h: pd.Series, held=held) -> pd.Series:
-            w = held.value
-            return pd.Series(_holds(w, _slots(h.to_numpy(), len(w) * 8)))
-
-        one = hashed.filter(F.col("part") == r).withColumn("maybe", maybe(F.col("h"))).drop("h", "part")
+        one = hashed.filter(F.col("part") == r).withColumn("maybe", _tester(spark.sparkContext.broadcast(words))(F.col("h"))).drop("h", "part")
         out = one if out is None else out.unionByName(one)
     return out, total
 
