@@ -1,14 +1,19 @@
 """Languages of documents and of stretches within them (problem 10).
 
-A bit-sliced Bloom filter holds one byte per slot with one bit per language; the AND of an n-gram's slots gives all
+A bit-sliced Bloom filter holds one word per slot with one bit per language; the AND of an n-gram's slots gives all
 languages that hold it. Each sentence counts, per language, its n-grams with that bit; the count is corrected by the
 language's share of false positives, and the best corrected count decides. Sentences of one language in a row form a
-segment. The filters are fitted on a bounded sample of different texts (``sample_docs``), whose sentences get their language
-from function words; labels of documents are not used. Every document is then read where it lies, without a shuffle.
-
-Defined results: NULL, empty and blank texts and documents without an id have no segment; lines that are no sentences (titles, names, tags) count
-for no language; texts of any length are read whole; repeated documents are each judged; an empty table, and a sample
-in which a language does not occur, give no row of it; labels that name none of the five languages name nothing.
+segment. The filters are fitted on at most ``SAMPLE_DOCS`` different labelled documents, read whole: their n-grams are
+counted where they lie, and only frequent ones reach the driver. The label only admits a document; its sentences get
+their language from function words, as labels may be wrong and documents mixed. Every document is then read where it
+lies, without a shuffle.
+
+Defined results: every line with letters belongs to a segment; titles, names, rests of sentences and sentences whose
+languages lie too close take the segment's language beside them and count as no sentence (a segment of nothing else has
+the language of its best count and n_sentences 0, and names no language in ``unnamed_languages``). NULL, empty and blank
+texts, texts without letters and documents without an id have no segment; texts of any length are read whole; repeated
+documents are each judged; an empty table, and a sample in which a language does not occur, give no row of it; labels
+that name none of the languages name nothing.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import materialise
 from . import language_seeds as seeds
 
 ORDERS = (3, 4, 5)
@@ -114,51 +120,84 @@ def _hash(folded: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     return out, left, starts
 
 
+#: Weights of the words that speak for each language.
+_KNOWN = {k: set(v.split()) for k, v in seeds.FUNCTION_WORDS.items()}
+_SAY = {x: 1 / sum(x in v for v in _KNOWN.values()) for v in _KNOWN.values() for x in v}
+
+
+def by_function_words(text: str) -> Iterator[tuple[str, str]]:
+    """(language, folded sentence) of the whole sentences whose function words tell their language."""
+    row: list[tuple[str, str | None]] = []
+    for a, b, whole in sentences(text):
+        f = fold(without_names(text[a:b]))
+        w = f.split()
+        if not whole or len(w) < MIN_WORDS:
+            continue
+        # a word speaks for a language the more, the fewer languages have it
+        hits = sorted(((sum(_SAY[x] for x in w if x in _KNOWN[k]), k) for k in seeds.LANGUAGES), reverse=True)
+        row.append((f, hits[0][1] if hits[0][0] >= 1 and hits[0][0] >= 1.5 * hits[1][0] else None))
+    for i, (f, k) in enumerate(row):
+        if k is None:  # between sentences of one language it is taken for one of them
+            around = {next((x for _, x in part if x), None) for part in (row[i + 1:], row[:i][::-1])} - {None}
+            k = around.pop() if len(around) == 1 else None
+        if k is not None:
+            yield k, f
+
+
+def counted(texts: Iterable[str], weights: Iterable[int]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Hashes of n-grams and how often they stand in the sentences of each language."""
+    per: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    for t, n in zip(texts, weights):
+        found: dict[str, list[str]] = {}
+        for k, f in by_function_words(html.unescape(t)):
+            found.setdefault(k, []).append(f)
+        for k, fs in found.items():
+            hs, left, _ = _hash(fs)
+            h, c = np.unique(np.concatenate([h[left >= m] for m, h in zip(ORDERS, hs)]), return_counts=True)
+            per.setdefault(k, []).append((h, c * n))
+    out = {}
+    for k, parts in per.items():
+        h, back = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+        out[k] = (h, np.bincount(back, np.concatenate([c for _, c in parts])).astype(np.int64))
+    return out
+
+
 class LanguageFilters:
-    def __init__(self, texts: Iterable[str]):
-        known = {k: set(v.split()) for k, v in seeds.FUNCTION_WORDS.items()}
+    """counts: hashes and counts of n-grams per language, to which the function words themselves are added; sizes: all n-grams of
+    each language, where ``counts`` holds only the frequent ones."""
+
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], sizes: dict[str, int] | None = None):
         langs = seeds.LANGUAGES
-        share = {x: 1 / sum(x in v for v in known.values()) for v in known.values() for x in v}
-        per: dict[str, list[str]] = {k: [f" {w} " for w in sorted(known[k])] * MIN_COUNT for k in langs}  # the words themselves, where the sample is small
-        for t in texts:
-            t = html.unescape(t)
-            row: list[tuple[str, str | None]] = []
-            for a, b, whole in sentences(t):
-                f = fold(without_names(t[a:b]))
-                w = f.split()
-                if not whole or len(w) < MIN_WORDS:
-                    continue
-                # a word speaks for a language the more, the fewer languages have it
-                hits = sorted(((sum(share[x] for x in w if x in known[k]), k) for k in langs), reverse=True)
-                row.append((f, hits[0][1] if hits[0][0] >= 1 and hits[0][0] >= 1.5 * hits[1][0] else None))
-            for i, (f, k) in enumerate(row):
-                if k is None:  # between sentences of one language it is taken for one of them
-                    around = {next((x for _, x in part if x), None) for part in (row[i + 1:], row[:i][::-1])} - {None}
-                    k = around.pop() if len(around) == 1 else None
-                if k is not None:
-                    per[k].append(f)
-        self.bits = np.zeros(SLOTS, np.uint8)
-        hashes = []
+        self.bits = np.zeros(SLOTS, np.min_scalar_type((1 << len(langs)) - 1))
+        every, count, size = [], [], []
         for k in langs:
-            hs, left, _ = _hash(per[k])
-            hashes.append(np.concatenate([h[left >= n] for n, h in zip(ORDERS, hs)]) if per[k] else np.zeros(0, np.uint64))
-        counted = [np.unique(h, return_counts=True) for h in hashes]
-        size = [max(len(h), 1) for h in hashes]
-        every, back = np.unique(np.concatenate([g for g, _ in counted]), return_inverse=True)
-        top, at = np.zeros(len(every)), 0
-        places = []
-        for (g, c), n in zip(counted, size):
-            places.append(back[at:at + len(g)])
+            hs, left, _ = _hash([f" {w} " for w in sorted(_KNOWN[k])])  # the words themselves, where the sample is small
+            h, c = np.unique(np.concatenate([h[left >= n] for n, h in zip(ORDERS, hs)]), return_counts=True)
+            more, many = counts.get(k, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+            total = (sizes or {}).get(k, int(many.sum()))
+            h, back = np.unique(np.concatenate([h, more]), return_inverse=True)
+            every.append(h)
+            count.append(np.bincount(back, np.concatenate([c * MIN_COUNT, many])))
+            size.append(max(total + int(c.sum()) * MIN_COUNT, 1))
+        all_, back = np.unique(np.concatenate(every), return_inverse=True)
+        top, at, places = np.zeros(len(all_)), 0, []
+        for h, c, n in zip(every, count, size):
+            places.append(back[at:at + len(h)])
             np.maximum.at(top, places[-1], c / n)
-            at += len(g)
-        for i, ((g, c), n) in enumerate(zip(counted, size)):
-            kept = g[(c >= MIN_COUNT) & (c / n >= MIN_RATE * top[places[i]])]
+            at += len(h)
+        for i, (h, c, n) in enumerate(zip(every, count, size)):
+            kept = h[(c >= MIN_COUNT) & (c / n >= MIN_RATE * top[places[i]])]
             for slot in self._slots(kept):
-                np.bitwise_or.at(self.bits, slot, np.uint8(1 << i))
+                np.bitwise_or.at(self.bits, slot, self.bits.dtype.type(1 << i))
         fill = np.array([((self.bits >> i) & 1).mean() for i in range(len(langs))])
         self.false = fill**PROBES
         self.fitted = fill > 0
 
+    @classmethod
+    def of(cls, texts: Iterable[str]) -> "LanguageFilters":
+        texts = list(texts)
+        return cls(counted(texts, [1] * len(texts)))
+
     @staticmethod
     def _slots(h: np.ndarray) -> list[np.ndarray]:
         with np.errstate(over="ignore"):
@@ -171,7 +210,7 @@ class LanguageFilters:
         n_lang = len(seeds.LANGUAGES)
         counts, total = np.zeros((len(folded), n_lang)), np.zeros(len(folded))
         for n, h in zip(ORDERS, hs):
-            mask = np.full(len(h), 255, np.uint8)
+            mask = np.full(len(h), np.iinfo(self.bits.dtype).max, self.bits.dtype)
             for slot in self._slots(h):
                 mask &= self.bits[slot]
             inside = left >= n
@@ -186,14 +225,17 @@ class LanguageFilters:
 
     def segments(self, texts: list[str]) -> list[list[tuple[int, int, str, float, int]]]:
         """Per text: (start, stop, language, confidence, whole sentences), in offsets of the resolved text."""
-        spans, folded, owner = [], [], []
+        spans, folded, owner, whole_ = [], [], [], []
         for i, t in enumerate(texts):
             for a, b, whole in sentences(t):
                 f = fold(without_names(t[a:b]))
-                if whole and f.count(" ") - 1 >= MIN_WORDS:
+                whole = whole and f.count(" ") - 1 >= MIN_WORDS
+                f = f if whole else fold(t[a:b])
+                if f.strip():
                     spans.append((a, b))
                     folded.append(f)
                     owner.append(i)
+                    whole_.append(whole)
         out: list[list[tuple[int, int, str, float, int]]] = [[] for _ in texts]
         if not folded:
             return out
@@ -202,15 +244,32 @@ class LanguageFilters:
         best = s.argmax(axis=1)
         lead = order[:, -1] - order[:, -2]
         sure = np.where(order[:, -1] > 0, lead / np.maximum(order[:, -1], 1e-9), 0)
-        for i, (a, b), k, d, c in zip(owner, spans, best, lead, sure):
-            if d < MIN_LEAD:
+        says = np.array(whole_) & (lead >= MIN_LEAD)
+        owner = np.array(owner)
+        edges = np.searchsorted(owner, np.arange(len(texts) + 1))
+        for i in range(len(texts)):
+            lo, hi = edges[i], edges[i + 1]
+            if lo == hi:
+                continue
+            told = np.flatnonzero(says[lo:hi]) + lo
+            if not len(told):  # nothing but lines that are no sentences, or none that is clear
+                total = s[lo:hi].sum(axis=0)
+                k = int(total.argmax())
+                rest = np.sort(total)[-2] if len(total) > 1 else 0.0
+                out[i].append((spans[lo][0], spans[hi - 1][1], seeds.LANGUAGES[k], float((total[k] - rest) / max(total[k], 1e-9)) if total[k] > 0 else 0.0, 0))
                 continue
-            lang, segs = seeds.LANGUAGES[k], out[i]
-            if segs and segs[-1][2] == lang:
-                p = segs[-1]
-                segs[-1] = (p[0], b, lang, (p[3] * p[4] + c) / (p[4] + 1), p[4] + 1)
-            else:
-                segs.append((a, b, lang, float(c), 1))
+            segs = out[i]
+            for j in range(lo, hi):
+                near = told[max(np.searchsorted(told, j, side="right") - 1, 0)]  # itself, or the last one told, or the first
+                lang, own = seeds.LANGUAGES[best[near]], int(says[j])
+                a, b = spans[j]
+                if segs and segs[-1][2] == lang:
+                    p = segs[-1]
+                    c = (p[3] * p[4] + sure[j] * own) / max(p[4] + own, 1)
+                    segs[-1] = (p[0], b, lang, c, p[4] + own)
+                else:
+                    segs.append((a, b, lang, float(sure[j]) if own else 0.0, own))
+            out[i] = [(a, b, lang, float(c), n) for a, b, lang, c, n in segs]
         return out
 
 
@@ -220,29 +279,44 @@ def named_language(label: Column) -> Column:
     return F.create_map(*(F.lit(x) for kv in seeds.CODES.items() for x in kv))[code]
 
 
-def doc_sample(docs: DataFrame, text: str, rows: int = SAMPLE_DOCS) -> list[str]:
-    """At most ``rows`` different texts, the same for the same data: those of the smallest hashes.
+def doc_sample(docs: DataFrame, text: str, label: str | None = None, rows: int = SAMPLE_DOCS) -> DataFrame:
+    """t, w: at most ``rows`` different labelled texts, whole, the same for the same data: those of the smallest hashes.
 
-    Copies count once, in the sample and in the size of its hash range. Where the texts leave room, those with copies
-    stand there MIN_COUNT - 1 times: evidence in small tables, but never enough for the n-grams of one text alone.
+    Copies count once, in the sample and in the size of its hash range, but for a weight w of MIN_COUNT - 1 where there
+    are some: never enough for the n-grams of one text alone.
     """
-    part = docs.select(F.col(text).alias("t")).filter("t IS NOT NULL").select(F.substring("t", 1, SAMPLE_CHARS).alias("t"), F.xxhash64("t").alias("h"))
+    part = docs.filter(named_language(F.col(label).cast("string")).isNotNull()) if label else docs
+    part = part.select(F.col(text).alias("t")).filter("t IS NOT NULL").withColumn("h", F.xxhash64("t"))
     distinct = part.agg(F.approx_count_distinct("h", 0.02)).first()[0]
     share = min(1.0, 2.0 * rows / max(distinct, 1))
     if share < 1:
         part = part.filter(F.col("h") < int(-(2**63) + share * 2**64))
-    got = part.groupBy("h").agg(F.min("t").alias("t"), F.count("*").alias("n")).orderBy("h").limit(rows).select("t", "n").collect()
-    again = [r.t for k in range(2, MIN_COUNT) for r in got if r.n >= k]
-    return [r.t for r in got] + again[: rows - len(got)]
+    # some 2 * rows texts are left: the hash at the bound is found first, so no task takes them all
+    hashes = materialise(part.groupBy("h").agg(F.count("*").alias("n")))
+    bound = hashes.orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    if bound is None:
+        return part.select("t", F.lit(1).alias("w")).limit(0)
+    return part.filter(F.col("h") <= bound).groupBy("h").agg(F.min("t").alias("t"), F.least(F.count("*"), F.lit(MIN_COUNT - 1)).cast("int").alias("w")).select("t", "w")
 
 
-#: What the sample takes of one document; the filters are a model fitted on a bounded sample, the documents themselves are judged whole.
-SAMPLE_CHARS = 4_000
+def fit(sample: DataFrame) -> LanguageFilters:
+    """Filters of a sample (t, w): n-grams are counted in the tasks, frequent ones are collected."""
+
+    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            for k, (h, c) in counted(p["t"], p["w"]).items():
+                yield pd.DataFrame({"lang": k, "h": h.view(np.int64), "n": c})
+
+    grams = sample.mapInPandas(count, "lang string, h bigint, n bigint").groupBy("lang", "h").agg(F.sum("n").alias("n"))
+    grams = materialise(grams)
+    sizes = {r.lang: int(r.n) for r in grams.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    got = grams.filter(F.col("n") >= MIN_COUNT).toPandas()
+    return LanguageFilters({k: (p["h"].to_numpy().view(np.uint64), p["n"].to_numpy()) for k, p in got.groupby("lang")}, sizes)
 
 
 def segments(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """doc_id, named (by the label), char_start, char_stop, lang, confidence, n_sentences of each stretch in one language."""
-    model = docs.sparkSession.sparkContext.broadcast(LanguageFilters(doc_sample(docs, text, sample_docs)))
+    model = docs.sparkSession.sparkContext.broadcast(fit(doc_sample(docs, text, label, sample_docs)))
     kind = dict(docs.dtypes)[doc_id]
 
     def judge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -262,4 +336,4 @@ def segments(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label:
 
 def unnamed_languages(segs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """doc_id, lang of each language with a whole sentence that the document's label does not name."""
-    return segs.filter("named IS NULL OR named != lang").select(doc_id, "lang").distinct()
+    return segs.filter("n_sentences > 0 AND (named IS NULL OR named != lang)").select(doc_id, "lang").distinct()

@@ -4,7 +4,8 @@ Each task indexes its documents in shards of bounded size: a suffix array over w
 in a wavelet matrix with ranks, and sampled suffix positions. All passages of ``min_words`` words are searched backward
 at once; occurrences are located by walking to sampled positions and merged into spans per document and item. Words
 that no item holds stand in no passage, so runs of fewer than ``min_words`` known words are left out of the index
-without loss. The corpus is neither shuffled nor collected; items are taken in blocks, so their number is not limited.
+without loss. The corpus is neither shuffled nor collected. Items are searched in blocks: the driver and every task hold
+one block at a time, and up to ``PASS_BLOCKS`` blocks are searched in one pass over the corpus.
 
 Defined results: NULL and empty texts and items shorter than ``min_words`` hold no passage; documents without an id are left out; documents of any length are
 indexed whole; repeated documents and items are each reported; an empty table gives an empty result; extra columns are
@@ -27,8 +28,8 @@ MIN_WORDS = 10
 SHARD_WORDS = 400_000
 #: Every so many positions of the text the suffix array keeps one.
 SAMPLE_EVERY = 8
-#: Items searched at a time.
-BLOCK_ITEMS = 5_000
+#: Items searched at a time, and blocks of them in one pass over the corpus.
+BLOCK_ITEMS, PASS_BLOCKS = 5_000, 64
 
 
 class FMIndex:
@@ -203,51 +204,64 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     kind = dict(corpus.dtypes)["d"]
     schema = f"{doc_id} {kind}, {item_id} bigint, first_word int, last_word int, char_start int, char_stop int"
     held = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).filter("i IS NOT NULL AND t IS NOT NULL")
-    blocks = [[]]
-    for r in held.orderBy("i").toLocalIterator():
-        if len(blocks[-1]) == block_items:
-            blocks.append([])
-        blocks[-1].append((r.i, r.t))
     out = None
-    for block in blocks:
-        query = spark.sparkContext.broadcast(Phrases(block, min_words))
-
-        def search(parts: Iterator[pd.DataFrame], query=query) -> Iterator[pd.DataFrame]:
-            q = query.value
-
-            def flush() -> pd.DataFrame:
-                run, word, item = q.shard([ids for _, _, ids in held_runs])
-                at = np.array([r for r, _, _ in held_runs], np.int64)
-                offset = np.array([o for _, o, _ in held_runs], np.int64)
-                if not len(run):
-                    return pd.DataFrame()
-                g = _merged(pd.DataFrame({"row": at[run], "word": word + offset[run], "item_id": item}), q.size)
-                spans = {r: word_spans(texts[r][1]) for r in g["row"].unique()}
-                return pd.DataFrame({
-                    doc_id: [texts[r][0] for r in g["row"]], item_id: g["item_id"].to_numpy(),
-                    "first_word": g["first"].to_numpy(), "last_word": g["last"].to_numpy(),
-                    "char_start": [spans[r][a][0] for r, a in zip(g["row"], g["first"])], "char_stop": [spans[r][b][1] for r, b in zip(g["row"], g["last"])],
-                })
-
-            held_runs, texts, size = [], {}, 0
-            for p in parts:
-                for d, t in zip(p["d"], p["t"]):
-                    if runs := q.runs(t):
-                        row = len(texts)
-                        texts[row] = (d, t)
-                        held_runs += [(row, a, ids) for a, ids in runs]
-                        size += sum(len(ids) for _, ids in runs)
-                        if size >= SHARD_WORDS:
-                            yield flush()
-                            held_runs, texts, size = [], {}, 0
-            if held_runs:
-                yield flush()
-
-        part = corpus.mapInPandas(search, schema)
+    for queries in _passes(spark, held, min_words, block_items):
+        part = corpus.mapInPandas(_searcher(queries, doc_id, item_id), schema)
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def _passes(spark, held: DataFrame, min_words: int, block_items: int) -> Iterator[list]:
+    """Broadcast blocks of items, as many at a time as one pass takes; the driver never holds more than one block."""
+    queries, block = [], []
+    for r in held.toLocalIterator():
+        block.append((r.i, r.t))
+        if len(block) == block_items:
+            queries.append(spark.sparkContext.broadcast(Phrases(block, min_words)))
+            block = []
+            if len(queries) == PASS_BLOCKS:
+                yield queries
+                queries = []
+    if block or not queries:
+        queries.append(spark.sparkContext.broadcast(Phrases(block, min_words)))
+    yield queries
+
+
+def _searcher(queries: list, doc_id: str, item_id: str):
+    def flush(q: Phrases, held_runs: list, texts: list) -> pd.DataFrame:
+        run, word, item = q.shard([ids for _, _, ids in held_runs])
+        if not len(run):
+            return pd.DataFrame()
+        at = np.array([r for r, _, _ in held_runs], np.int64)
+        offset = np.array([o for _, o, _ in held_runs], np.int64)
+        g = _merged(pd.DataFrame({"row": at[run], "word": word + offset[run], "item_id": item}), q.size)
+        spans = {r: word_spans(texts[r][1]) for r in g["row"].unique()}
+        return pd.DataFrame({
+            doc_id: [texts[r][0] for r in g["row"]], item_id: g["item_id"].to_numpy(),
+            "first_word": g["first"].to_numpy(), "last_word": g["last"].to_numpy(),
+            "char_start": [spans[r][a][0] for r, a in zip(g["row"], g["first"])], "char_stop": [spans[r][b][1] for r, b in zip(g["row"], g["last"])],
+        })
+
+    def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            texts = list(zip(p["d"], p["t"]))
+            for query in queries:
+                q, held_runs, size = query.value, [], 0
+                for row, (_, t) in enumerate(texts):
+                    for first, ids in q.runs(t):
+                        held_runs.append((row, first, ids))
+                        size += len(ids)
+                    if size >= SHARD_WORDS:
+                        yield flush(q, held_runs, texts)
+                        held_runs, size = [], 0
+                if held_runs:
+                    yield flush(q, held_runs, texts)
+                if len(queries) > 1:  # read again from the executor's disk for the next batch
+                    query.__dict__.pop("_value", None)
+
+    return search
+
+
 def without_leaks(docs: DataFrame, spans: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, clean_text, removed_chars of each document with leaks: the resolved text without any leaked span."""
     marked = spans.groupBy(doc_id).agg(F.sort_array(F.collect_set(F.struct("char_start", "char_stop"))).alias("spans"))

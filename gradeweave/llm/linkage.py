@@ -10,10 +10,10 @@ resolved. A record's names, identifier, image and city give keys of brand, genre
 6. lineup: network and channel number, where they belong to one class only.
 
 The confidence of a rule is its precision on labelled records, with Laplace's smoothing; that of a pair is the product
-for its two records. A record is labelled with the dictionary's entry that its identifier or names are listed for, else
-with the channel that its identifier spells out; rules on names are judged by their names alone on all such records,
-also those that an earlier pass resolves, and the rule on identifiers by the records' exact names. Classes are joined with themselves at the end, so large classes give all their
-pairs; no pairs of different classes are ever formed.
+for its two records. Rules on names are judged on records whose identifier is listed in the dictionary or spells a
+channel out, the rule on identifiers on records with a listed name or one that says what no other name does, each also on
+records that an earlier pass resolves; where the dictionary lists little, a precision is the agreement of both readings. Classes are joined with themselves at the end, large ones in parts of ``PART_ROWS`` records, and give
+all their pairs; no pairs of different classes are ever formed. ``classes`` gives one row per record instead.
 
 Defined results: records without an id or a source are left out; NULL and empty fields give no key; records without a key stay alone; repeated records are records of
 their own; ties go to the key of more records, then to the smaller key; extra columns are not read; empty tables give
@@ -26,20 +26,23 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import materialise
+from ..runtime import join_groups, materialise
 from .channels import STATES, Parser, fold
 
-MAX_ENTRIES = 200_000
+#: The dictionary is a model in memory: some 200 bytes an entry.
+MAX_ENTRIES = 1_000_000
 RULES = ("confirmed", "name", "code", "slip", "cut", "lineup")
-#: A key without an identifier is taken as written if it has so many records and, besides, this share of the records of
-#: the better supported key that is near: slips of a channel grow with its records.
-FIRM_ROWS = 6
-FIRM_SHARE = 0.1
+#: A key without an identifier is taken as written if it has more records than slips of the better supported key that is
+#: near may have: this share of its records and so many times their root, as small numbers scatter.
+FIRM_SHARE, FIRM_SCATTER = 0.1, 2.0
+#: Records of a class that meet all others of the class in one task.
+PART_ROWS = 2_000
 SHORT, FULL = 7, 8
-#: Longer keys are matched as they are written only: slips are sought among all variants of a key.
+#: Up to this length a key is found by what is left without any one letter; in longer ones a slip leaves the first or the
+#: last third as it is, and these are compared.
 LONGEST = 64
 
 
@@ -58,7 +61,7 @@ class Reader:
     """Keys and, where the dictionary has one, the label of each record."""
 
     def __init__(self, entries: list):
-        self.parser = Parser(e.name for e in entries)
+        self.parser = Parser((e.name for e in entries), (e.aliases for e in entries))
         owners = defaultdict(set)
         for e in entries:
             for t in [e.name, *(e.aliases or []), *(e.tvg_ids or [])]:
@@ -66,10 +69,10 @@ class Reader:
                     owners[_plain(t)].add(key)
         self.labels = {k: next(iter(v)) for k, v in owners.items() if len(v) == 1}
 
-    def read(self, names, code, city, icon) -> tuple[dict, str | None, str | None]:
-        """{(kind, key): (core, genre, number, network)}, label, network of a name without a town."""
+    def read(self, names, code, city, icon) -> tuple[dict, str | None, str | None, str | None]:
+        """{(kind, key): (core, genre, number, network)}, labels by identifier and by names, network of a name without a town."""
         keys, bare = {}, None
-        labels = {self.labels.get(_plain(t)) for t in [code, *names]} - {None}
+        listed = {self.labels.get(_plain(t)) for t in names} - {None}
         for n in names:
             p = self.parser.parse(n)
             if p.foreign or p.vod:
@@ -89,51 +92,61 @@ class Reader:
                 if p.key:
                     keys.setdefault(("city", p.key), p)
         spelled = next((p.key for p in self.parser.parse_code(code) if p.key), None)
-        return keys, labels.pop() if len(labels) == 1 else spelled, bare
+        return keys, self.labels.get(_plain(code), spelled), listed.pop() if len(listed) == 1 else None, bare
 
 
 def views(channels: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """rid, source, lcn, label, bare, kind, key, core, genre, number, network: a row per key, one without key if there is none."""
+    """rid, source, lcn, label, listed, bare, kind, key, core, genre, number, network: a row per key, one without key if there is none."""
     reader = channels.sparkSession.sparkContext.broadcast(Reader(dictionary_rows(dictionary, ["key", "name", "aliases", "tvg_ids"])))
 
     def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             out = []
             for rid, source, code, names, city, lcn, icon in zip(p["rid"], p["source"], p["code"], p["names"], p["city"], p["lcn"], p["icon"]):
-                keys, label, bare = reader.value.read([n for n in (names if names is not None else []) if n], code, city, icon)
+                keys, label, listed, bare = reader.value.read([n for n in (names if names is not None else []) if n], code, city, icon)
                 for (kind, key), x in (keys or {(None, None): None}).items():
-                    out.append((rid, source, lcn, label, bare, kind, key, *((x.core, x.genre, x.number, x.network) if x else (None,) * 4)))
-            yield pd.DataFrame(out, columns=["rid", "source", "lcn", "label", "bare", "kind", "key", "core", "genre", "number", "network"])
+                    out.append((rid, source, lcn, label, listed, bare, kind, key, *((x.core, x.genre, x.number, x.network) if x else (None,) * 4)))
+            yield pd.DataFrame(out, columns=["rid", "source", "lcn", "label", "listed", "bare", "kind", "key", "core", "genre", "number", "network"])
 
     rows = channels.filter("chan_row_id IS NOT NULL AND source IS NOT NULL").select(
         F.col("chan_row_id").cast("bigint").alias("rid"), "source", F.col("channel_id").alias("code"), F.col("display_names").alias("names"),
         "city", F.col("lcn").cast("string").alias("lcn"), "icon")
-    return rows.mapInPandas(read, "rid bigint, source string, lcn string, label string, bare string, kind string, key string, core string, genre string, number string, network string")
+    return rows.mapInPandas(read, "rid bigint, source string, lcn string, label string, listed string, bare string, kind string, key string, core string, genre string, number string, network string")
 
 
 def _near(a: Column, b: Column) -> Column:
     """One character more, less or other, or two neighbours swapped."""
     letters = lambda c: F.array_join(F.array_sort(F.split(c, "")), "")
-    d = F.levenshtein(a, b)
+    d = F.when((a != b) & (F.abs(F.length(a) - F.length(b)) <= 1), F.levenshtein(a, b, 2))  # -1 beyond; only where lengths allow it
     return (d == 1) | ((d == 2) & (F.length(a) == F.length(b)) & (letters(a) == letters(b)))
 
 
+def _cuts(word: Column) -> Column:
+    """A word of at most SHORT letters and what is left of it without any one letter."""
+    word = F.substring(word, 1, SHORT)  # so that longer ones cost nothing where they are filtered out later
+    return F.array_union(F.array(word), F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.length(word)))))
+
+
 def _variants(core: Column) -> Column:
-    cut = F.transform(F.sequence(F.lit(1), F.length(core)), lambda i: F.concat(F.substring(core, F.lit(1), i - 1), F.substring(core, i + 1, F.length(core))))
-    return F.array_union(F.array(core), cut)
+    """Hashes of which two cores share one at least if they are one slip apart."""
+    head = F.substring(core, F.lit(1), F.lit(LONGEST + 1))  # all of the keys that are cut
+    cut = F.transform(F.sequence(F.lit(1), F.length(head)), lambda i: F.xxhash64(F.concat(F.substring(head, F.lit(1), i - 1), F.substring(head, i + 1, F.length(head)))))
+    third = lambda n, of: F.xxhash64(F.lit(of), n, F.substring(core, F.lit(1), n) if of == "first" else F.substring(core, F.length(core) - n + 1, n))
+    sizes = [F.expr(f"CAST((length(core) - {k}) div 3 AS INT)") for k in (0, 1)]
+    thirds = F.array(*(third(n, of) for n in sizes for of in ("first", "last")))
+    # keys about the bound may be met by a longer one
+    return F.when(F.length(core) < LONGEST, F.array_union(F.array(F.xxhash64(core)), cut)).when(F.length(core) > LONGEST + 1, F.array_distinct(thirds)).otherwise(
+        F.array_distinct(F.concat(F.array(F.xxhash64(core)), cut, thirds)))
 
 
 def corrections(keys: DataFrame) -> DataFrame:
     """key, rule, target for keys that are slips or short forms of a better supported key."""
-    keys = keys.filter(F.length("core") <= LONGEST)
-    better = (F.col("to.weight") > F.col("weight")) | ((F.col("to.weight") == F.col("weight")) & (F.col("to.key") < F.col("key")))
-    loose = keys.filter("NOT firm")
-    spread = keys.select("key", "weight", "n_rows", "core", "genre", "number", F.explode(_variants(F.col("core"))).alias("v"))
-    heads = spread.groupBy("v", "genre", "number").agg(F.min_by(F.struct("weight", "key", "core", "n_rows"), F.struct(-F.col("weight"), F.col("key"))).alias("to"))
+    better = (F.col("t_weight") > F.col("weight")) | ((F.col("t_weight") == F.col("weight")) & (F.col("target") < F.col("key")))
+    spread = keys.select("key", "weight", "n_rows", "core", "genre", "number", "firm", F.explode(_variants(F.col("core"))).alias("v"))
+    theirs = spread.select("v", "genre", "number", F.col("key").alias("target"), F.col("weight").alias("t_weight"), F.col("n_rows").alias("t_rows"), F.col("core").alias("t_core"))
     slips = (
-        loose.select("key", "weight", "n_rows", "core", "genre", "number", F.explode(_variants(F.col("core"))).alias("v"))
-        .join(heads, ["v", "genre", "number"]).filter(better & (F.col("n_rows") < FIRM_ROWS + FIRM_SHARE * F.col("to.n_rows")) & _near(F.col("core"), F.col("to.core")))
-        .groupBy("key").agg(F.min_by("to", F.struct(-F.col("to.weight"), F.col("to.key"))).alias("to")).select("key", F.lit("slip").alias("rule"), F.col("to.key").alias("target"))
+        spread.filter("NOT firm").join(theirs, ["v", "genre", "number"]).filter(better & (F.col("n_rows") <= FIRM_SHARE * F.col("t_rows") + FIRM_SCATTER * F.sqrt("t_rows")) & _near(F.col("core"), F.col("t_core")))
+        .groupBy("key").agg(F.min_by("target", F.struct(-F.col("t_weight"), F.col("target"))).alias("target")).select("key", F.lit("slip").alias("rule"), "target")
     )
     tail = F.element_at(F.split("core", " "), -1)
     parted = keys.withColumn("tail", tail).withColumn("head", F.expr("substring(core, 1, length(core) - length(tail))"))
@@ -151,11 +164,11 @@ def corrections(keys: DataFrame) -> DataFrame:
     sizes = F.transform(F.sequence(F.lit(SHORT - 1), F.lit(SHORT)), lambda i: F.substring(F.col("tail"), F.lit(1), i))
     begun = (
         parted.filter(F.length("tail") >= FULL).select("head", "genre", "number", "weight", "key", F.explode(sizes).alias("start"))
-        .select("head", "genre", "number", "weight", "key", "start", F.length("start").alias("size"), F.explode(_variants(F.col("start"))).alias("v"))
+        .select("head", "genre", "number", "weight", "key", "start", F.length("start").alias("size"), F.explode(_cuts(F.col("start"))).alias("v"))
     )
     blurred = (
         parted.filter(F.length("tail").between(SHORT - 1, SHORT) & ~F.col("firm")).join(cuts, "key", "left_anti")
-        .select(F.col("key").alias("short"), "head", "genre", "number", "tail", F.length("tail").alias("size"), F.explode(_variants(F.col("tail"))).alias("v"))
+        .select(F.col("key").alias("short"), "head", "genre", "number", "tail", F.length("tail").alias("size"), F.explode(_cuts(F.col("tail"))).alias("v"))
         .join(begun, ["head", "genre", "number", "size", "v"]).filter(_near(F.col("tail"), F.col("start")) & (F.col("weight") > 1))
         .groupBy("short").agg(F.min("key").alias("target"), F.max("key").alias("other")).filter("target = other")
         .select(F.col("short").alias("key"), F.lit("cut").alias("rule"), "target")
@@ -174,13 +187,13 @@ def resolve(channels: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, Data
     ).withColumn("weight", F.col("n_rows") + F.when(F.col("firm"), 2).otherwise(0)))
     fixes = materialise(corrections(keys))
     shared = keys.filter("n_sources >= 2").join(fixes, "key", "left_anti").select("key", "weight")
-    of_row = materialise(keyed.groupBy("rid", "source", "lcn", "label", "bare", "key").agg(
+    of_row = materialise(keyed.groupBy("rid", "source", "lcn", "bare", "key").agg(
         F.count_distinct("kind").alias("kinds"), F.max(F.col("kind") == "name").alias("named")))
 
     def pick(rows: DataFrame, rule: str, target: str = "key") -> DataFrame:
         """One class for each record: the key of most fields, then of most records."""
-        best = rows.groupBy("rid", "source", "lcn", "label", "bare").agg(
-            F.max_by(target, F.struct("kinds", "weight", F.hash(target))).alias("class"))
+        best = rows.groupBy("rid", "source", "lcn", "bare").agg(
+            F.min_by(target, F.struct(-F.col("kinds"), -F.col("weight"), F.col(target))).alias("class"))
         return best.withColumn("rule", F.lit(rule))
 
     known = of_row.join(shared, "key")
@@ -191,7 +204,7 @@ def resolve(channels: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, Data
     parts = keyed.select("rid", "key", "core", "genre", "number", "kind").distinct()
     written_as = parts.filter("kind = 'name'").select("rid", F.col("core").alias("n_core"), F.col("genre").alias("n_genre"), F.col("number").alias("n_number"))
     tail, n_tail = F.element_at(F.split("core", " "), -1), F.element_at(F.split("n_core", " "), -1)
-    close = (F.col("genre") == F.col("n_genre")) & (F.col("number") == F.col("n_number")) & ((F.levenshtein("core", "n_core") <= 2) | (F.levenshtein(F.substring("core", F.lit(1), F.length("n_core")), "n_core") <= 1) | (tail == n_tail))
+    close = (F.col("genre") == F.col("n_genre")) & (F.col("number") == F.col("n_number")) & (F.levenshtein("core", "n_core", 2).between(0, 2) | F.levenshtein(F.substring("core", F.lit(1), F.length("n_core")), "n_core", 1).between(0, 1) | (tail == n_tail))
     # identifiers, images and cities may be wrong: they count where the record's names do not speak against them
     fitting = parts.filter("kind != 'name'").join(written_as, "rid", "left").groupBy("rid", "key").agg(F.max(F.col("n_core").isNull() | close).alias("fits")).filter("fits").select("rid", "key")
     for rule, part in (("name", known.filter("named")), ("code", known.join(fitting, ["rid", "key"], "left_semi"))):
@@ -208,20 +221,22 @@ def resolve(channels: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, Data
         done.drop("bare").filter("lcn IS NOT NULL").join(network, "class").groupBy("bare", "lcn")
         .agg(F.min("class").alias("class"), F.max("class").alias("other")).filter("class = other").drop("other")
     )
-    rest = v.filter("bare IS NOT NULL AND lcn IS NOT NULL").select("rid", "source", "lcn", "label", "bare").distinct()
+    rest = v.filter("bare IS NOT NULL AND lcn IS NOT NULL").select("rid", "source", "lcn", "bare").distinct()
     last = rest.join(done, "rid", "left_anti").join(owner, ["bare", "lcn"]).withColumn("rule", F.lit("lineup"))
     resolved = done.unionByName(last).select("rid", "source", "rule", "class")
 
-    # what each rule says by itself of records with a label; the rule on identifiers is judged by the exact names
+    # what each rule says by itself of records with a label of the other kind
     tried = keyed.filter("kind IN ('name', 'code')").select("rid", "key", "kind").distinct()
     exact = tried.join(shared, "key").select("rid", F.col("kind").alias("rule"), F.col("key").alias("said"), F.lit(1).alias("kinds"), "weight")
     mended = tried.filter("kind = 'name'").join(fixes, "key").join(weights, "target").select("rid", "rule", F.col("target").alias("said"), F.lit(1).alias("kinds"), "weight")
     agreed = known.filter("kinds > 1 AND named").select("rid", F.lit("confirmed").alias("rule"), F.col("key").alias("said"), "kinds", "weight")
     loose = last.select("rid", "rule", F.col("class").alias("said"), F.lit(1).alias("kinds"), F.lit(0).cast("bigint").alias("weight"))
-    said = exact.unionByName(mended).unionByName(agreed).unionByName(loose).groupBy("rid", "rule").agg(F.max_by("said", F.struct("kinds", "weight", F.hash("said"))).alias("said"))
-    spelled = v.filter("label IS NOT NULL").groupBy("rid").agg(F.min("label").alias("truth")).withColumn("by_code", F.lit(True))
-    written = known.filter("named").groupBy("rid").agg(F.min("key").alias("truth"), F.max("key").alias("o")).filter("truth = o").select("rid", "truth", F.lit(False).alias("by_code"))
-    trials = said.withColumn("by_code", F.col("rule") != "code").join(spelled.unionByName(written), ["rid", "by_code"]).select("rule", (F.col("said") == F.col("truth")).alias("right"))
+    said = exact.unionByName(mended).unionByName(agreed).unionByName(loose).groupBy("rid", "rule").agg(
+        F.min_by("said", F.struct(-F.col("kinds"), -F.col("weight"), F.col("said"))).alias("said"))
+    written = known.filter("named").groupBy("rid").agg(F.min("key").alias("one"), F.max("key").alias("other")).filter("one = other").select("rid", "one")
+    labels = v.groupBy("rid").agg(F.min("label").alias("label"), F.min("listed").alias("listed")).join(written, "rid", "left").select("rid", "label", F.coalesce("listed", "one").alias("listed"))
+    trials = said.join(labels, "rid").withColumn("truth", F.when(F.col("rule") == "code", F.col("listed")).otherwise(F.col("label"))).filter("truth IS NOT NULL").select(
+        "rule", (F.col("said") == F.col("truth")).alias("right"))
     return resolved, _precisions(trials)
 
 
@@ -232,14 +247,30 @@ def _precisions(trials: DataFrame) -> DataFrame:
     return every.join(found, "rule", "left").select("rule", n.alias("n_labelled"), ((right + 1) / (n + 2)).alias("precision"))
 
 
+def classes(channels: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """chan_row_id, class, rule, confidence, n_links: one row per resolved record; n_links counts the records of other
+    sources in its class."""
+    resolved, precision = resolve(channels, dictionary)
+    scored = materialise(resolved.join(F.broadcast(precision), "rule"))  # one row per rule
+    per = scored.groupBy("class", "source").agg(F.count("*").alias("own"))
+    every = per.groupBy("class").agg(F.sum("own").alias("n"))
+    sizes = per.join(every, "class").select("class", "source", "own", (F.col("n") - F.col("own")).alias("n_links"))
+    return join_groups(scored, sizes, ["class", "source"], "own", scored.count()).select(
+        F.col("rid").alias("chan_row_id"), "class", "rule", F.round("precision", 6).alias("confidence"), "n_links")
+
+
 def pairs(channels: DataFrame, dictionary: DataFrame) -> DataFrame:
     """row_a, row_b, rule, match_score: two records of different sources in one class; the rule is the weaker of the two."""
     resolved, precision = resolve(channels, dictionary)
     scored = materialise(resolved.join(F.broadcast(precision), "rule"))  # one row per rule
     rank = F.array_position(F.array(*(F.lit(r) for r in RULES)), F.col("rule"))
-    side = scored.select("class", F.col("rid"), "source", rank.alias("rank"), "precision")
-    a, b = (side.select("class", *(F.col(c).alias(f"{c}_{x}") for c in ("rid", "source", "rank", "precision"))) for x in "ab")
-    joined = a.join(b, "class").filter("rid_a < rid_b AND source_a != source_b")
+    sizes = scored.groupBy("class").agg(F.count("*").alias("n")).filter("n > 1").withColumn("parts", F.ceil(F.col("n") / F.lit(PART_ROWS)).cast("int"))
+    side = join_groups(scored, sizes, ["class"], "n", scored.count()).select("class", "rid", "source", rank.alias("rank"), "precision", "parts")
+    named = lambda df, x: df.select("class", "part", *(F.col(c).alias(f"{c}_{x}") for c in ("rid", "source", "rank", "precision")))
+    # each record is in one part on one side and in all parts on the other: every pair meets once, no class in one task
+    a = named(side.withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int")), "a")
+    b = named(side.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))), "b")
+    joined = a.join(b, ["class", "part"]).filter("rid_a < rid_b AND source_a != source_b")
     rule = F.element_at(F.array(*(F.lit(r) for r in RULES)), F.greatest("rank_a", "rank_b").cast("int"))
     return joined.select(
         F.col("rid_a").alias("row_a"), F.col("rid_b").alias("row_b"), rule.alias("rule"),

@@ -30,9 +30,14 @@ CORE, GENRE, NUMBER = 0.7, 0.2, 0.1
 PART_COLUMNS = "form string, core string, genre string, number string, network string, bracketed boolean"
 
 
+def _parser(dictionary: DataFrame) -> Parser:
+    rows = dictionary_rows(dictionary, ["name", "aliases"])
+    return Parser((r.name for r in rows), (r.aliases for r in rows))
+
+
 def _parsed(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     """name, form, core, genre, number, network, usable of each row's name."""
-    parser = df.sparkSession.sparkContext.broadcast(Parser(r.name for r in dictionary_rows(dictionary, ["name"])))
+    parser = df.sparkSession.sparkContext.broadcast(_parser(dictionary))
     others = [c for c in df.columns if c != "name"]
 
     def parse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,6 +81,10 @@ def _same_brand(a: str, b: str, network: str) -> bool:
     return near(a, b, 1 if len(b) < 9 else 2) or (5 <= len(a) <= 7 and b.startswith(a))
 
 
+def _same_brands(a: pd.Series, b: pd.Series, network: pd.Series) -> pd.Series:
+    return pd.Series([_same_brand(x, y, n or "") if x is not None and y is not None else None for x, y, n in zip(a, b, network)], dtype="object")
+
+
 def map_names(names: DataFrame, dictionary: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
     """name, entry, score, status ('mapped', 'ambiguous', 'different', 'unknown', 'not a channel') of each name of a column ``name``."""
     spark = names.sparkSession
@@ -103,22 +112,17 @@ def map_names(names: DataFrame, dictionary: DataFrame, threshold: float = THRESH
     top = scored.withColumn("rank", F.row_number().over(order)).filter("rank <= 2")
     best = top.groupBy("form", "core", "genre", "number", "bracketed").agg(
         F.max(F.when(F.col("rank") == 1, F.struct("entry", "score", "e_core", "e_genre", "e_number", "e_network"))).alias("b"), F.max(F.when(F.col("rank") == 2, F.col("score"))).alias("next"))
-    same = F.udf(_same_brand_column, "boolean", useArrow=True)
     judged = best.select(
         "form", F.col("b.entry").alias("entry"), F.col("b.score").alias("score"),
         F.when(F.col("b.score") < threshold, "unknown")
         .when(F.col("b.score") - F.coalesce("next", F.lit(0.0)) < margin, "ambiguous")
         .when((F.col("b.e_genre") != F.col("genre")) | ((F.col("b.e_number") != F.col("number")) & ~(F.col("bracketed") & (F.col("b.e_number") == ""))), "different")
-        .when(~same("core", "b.e_core", "b.e_network"), "different").otherwise("mapped").alias("status"))
+        .when(~F.pandas_udf(_same_brands, "boolean")("core", "b.e_core", "b.e_network"), "different").otherwise("mapped").alias("status"))
     return parsed.join(judged, "form", "left").select(
         "name", F.when(F.col("usable") & (F.col("status") == "mapped"), F.col("entry")).alias("entry"), F.col("entry").alias("nearest"), F.round("score", 4).alias("score"),
         F.when(~F.col("usable"), "not a channel").otherwise(F.coalesce("status", F.lit("unknown"))).alias("status"))
 
 
-def _same_brand_column(a, b, network):
-    return _same_brand(a, b, network or "")
-
-
 def map_entries(entries: DataFrame, dictionary: DataFrame, entry_id: str = "entry_id", name: str = "display_name") -> DataFrame:
     """entry_id, dict_key of each entry whose name is mapped."""
     rows = entries.select(F.col(entry_id).alias("i"), F.col(name).alias("name")).filter("name IS NOT NULL")

@@ -50,6 +50,10 @@ def p2_pairs(spark, sf_dir):
     return linkage.pairs(*_channel_tables(spark, sf_dir))
 
 
+def p2_classes(spark, sf_dir):
+    return linkage.classes(*_channel_tables(spark, sf_dir))
+
+
 def p2_rules(spark, sf_dir):
     r, precision = linkage.resolve(*_channel_tables(spark, sf_dir))
     return precision.join(r.groupBy("rule").agg(F.count("*").alias("n_records")), "rule", "left").fillna(0).withColumn("precision", F.round("precision", 6))
@@ -96,7 +100,7 @@ def p9_copies(spark, sf_dir):
     return mixing.mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))
 
 
-QUERIES = {"p9_report": p9_report, "p9_copies": p9_copies, "p1_found": p1_found, "p1_records": p1_records, "p7_found": p7_found, "p7_merged": p7_merged, "p7_consensus": p7_consensus, "p6_found": p6_found, "p6_unmapped": p6_unmapped, "p2_found": p2_found, "p2_pairs": p2_pairs, "p2_rules": p2_rules, "p10_found": p10_found, "p10_segments": p10_segments, "p8_found": p8_found, "p8_spans": p8_spans, "p8_clean": p8_clean, "p4_found": p4_found, "p4_kinds": p4_kinds}
+QUERIES = {"p9_report": p9_report, "p9_copies": p9_copies, "p1_found": p1_found, "p1_records": p1_records, "p7_found": p7_found, "p7_merged": p7_merged, "p7_consensus": p7_consensus, "p6_found": p6_found, "p6_unmapped": p6_unmapped, "p2_found": p2_found, "p2_pairs": p2_pairs, "p2_rules": p2_rules, "p2_classes": p2_classes, "p10_found": p10_found, "p10_segments": p10_segments, "p8_found": p8_found, "p8_spans": p8_spans, "p8_clean": p8_clean, "p4_found": p4_found, "p4_kinds": p4_kinds}
 _CANON = """
 WITH c AS (SELECT rec_id, name, aliases, coalesce(lower(regexp_replace(name, '[^\\p{L}\\p{N}]', '', 'g')), chr(1)) AS n,
   list_sort(list_transform(coalesce(aliases, []), lambda a: coalesce(lower(regexp_replace(a, '[^\\p{L}\\p{N}]', '', 'g')), chr(1)))) AS l FROM dictionary_records),

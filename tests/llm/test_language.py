@@ -52,7 +52,7 @@ def test_empty(spark):
 
 
 def test_filter_corrects_false_positives():
-    m = language.LanguageFilters([t for _, t, _ in corpus()])
+    m = language.LanguageFilters.of([t for _, t, _ in corpus()])
     assert m.fitted.all() and (m.false < 0.01).all()
     assert m.score([language.fold("zzzz qqqq wwww")]).max() < 0.1
 
@@ -65,7 +65,33 @@ def test_sentences():
 
 def test_sample_without_copies(spark):
     rows = [(i, f"texto {i}" if i % 3 else "o mesmo texto") for i in range(3000)]
-    got = language.doc_sample(spark.createDataFrame(rows, "doc_id bigint, text string"), "text", 100)
+    got = [r.t for r in language.doc_sample(spark.createDataFrame(rows, "doc_id bigint, text string"), "text", None, 100).collect()]
     assert len(got) == len(set(got)) == 100
     few = [(i, f"texto {i % 40}") for i in range(3000)]  # the range follows the texts, not the rows
-    assert len(language.doc_sample(spark.createDataFrame(few, "doc_id bigint, text string"), "text", 10)) == 10
+    assert language.doc_sample(spark.createDataFrame(few, "doc_id bigint, text string"), "text", None, 10).count() == 10
+
+
+def test_sample_takes_labelled_rows_and_whole_texts(spark):
+    end = " ".join(TRAIN["it"])
+    rows = [(i, f"palavra{i} " * 3000 + "\n" + end, "it" if i % 2 else None) for i in range(8)]
+    sample = language.doc_sample(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), "text", "lang")
+    assert sample.count() == 4
+    filters = language.fit(sample)
+    want = language.LanguageFilters.of([r.t for r in sample.collect()])
+    assert (filters.bits == want.bits).all()
+
+
+def test_every_line_is_labelled():
+    m = language.LanguageFilters.of([t for _, t, _ in corpus()])
+    text = "Bom Dia Vila\n" + TEST["pt"] + " enfim.\nUma só.\n" + TEST["en"] + "\nNight News"
+    segs = m.segments([text, "Bom Dia", "13:30 --", "Noite"])
+    assert [(s[2], s[4]) for s in segs[0]] == [("pt", 1), ("en", 1)] and segs[0][0][0] == 0 and segs[0][-1][1] == len(text)
+    assert [len(s) for s in segs[1:]] == [1, 0, 1] and segs[1][0][4] == 0
+
+
+def test_more_than_eight_languages(monkeypatch):
+    more = {f"l{i}": f"zu{i}q wo{i}k ra{i}m".replace("0", "a").replace("1", "b").replace("2", "c").replace("3", "d").replace("4", "e") for i in range(5)}
+    monkeypatch.setattr(language.seeds, "LANGUAGES", (*language.seeds.LANGUAGES, *more))
+    monkeypatch.setattr(language, "_KNOWN", language._KNOWN | {k: set(v.split()) for k, v in more.items()})
+    m = language.LanguageFilters.of([t for _, t, _ in corpus()])
+    assert m.bits.dtype.itemsize == 2 and m.score([language.fold(more["l4"])]).argmax() == 9

@@ -45,6 +45,29 @@ def test_slips_of_a_hot_channel(spark):
     assert len({found[r[0]] for r in rows[209:]}) == 2
 
 
+def test_long_names_and_classes(spark):
+    """Slips beyond the length up to which letters are left out, and one row per record with its links."""
+    base = "alfaquia bromelia cravoteca dunamares esmeralda falcoeira girassoia horizonta jabuticava"
+    names = [base, base, base, base.replace("alfaquia", "alfauqia"), base.replace("jabuticava", "jabuticva"), base.replace("esmeralda", "esmerilda").replace("bromelia", "bromelha")]
+    rows = [(i, "abcdef"[i], str(i), [n + " Kids"]) for i, n in enumerate(names)]
+    df = spark.createDataFrame([(*r, *[None] * 5) for r in rows], SHAPE)
+    got = {r.chan_row_id: (r["class"], r.n_links) for r in linkage.classes(df, spark.createDataFrame(DICT, DSHAPE)).collect()}
+    assert len({got[i][0] for i in range(5)}) == 1 and all(got[i][1] == 4 for i in range(5)) and 5 not in got
+
+
+def test_large_classes_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "PART_ROWS", 7)
+    rows = [(i, "abc"[i % 3], str(i), ["Bodegavo Kids"]) for i in range(40)]
+    assert pairs(spark, rows) == {(a, b) for a in range(40) for b in range(a + 1, 40) if a % 3 != b % 3}
+
+
+def test_genres_and_forms_are_learned():
+    names = [f"{b} Astrologia" for b in "bodegavo mecanor fafijoda relagito tirapema zocuvani lamipodo nevadira".split()]
+    p = Parser(names, [[f"{n.split()[0]} Astro."] for n in names])
+    assert p.parse("Zupalico Astrologia 2").key == p.parse("zupalico astro 2").key == "zupalico|astrologia|2"
+    assert Parser(names[:3]).parse("Zupalico Astrologia").genre == ""
+
+
 def test_empty(spark):
     assert pairs(spark, []) == set()
     assert pairs(spark, [(1, "a", "1", ["Bodegavo Kids"]), (2, "b", "1", ["Bodegavo Kids"])], []) == {(1, 2)}
