@@ -1,6 +1,7 @@
 """Repair, neighbours, clipping, stitching and filling on small schedules."""
 
-import pandas as pd
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -58,22 +59,76 @@ def test_final_clip(spark):
     assert [(r.s, r.e) for r in S.final_clip(frame(spark, rows)).orderBy("s").collect()] == [(0, 90), (90, 500), (500, 1000)]
 
 
-row = st.builds(lambda s, n, w, t, m, src: {"s": s * 60, "e": (s + n) * 60, "win": s // 360, "norm": f"T{t}", "title": f"T{t}", "row_id": s * 1000 + n, "rich": 0.5, "n_src": 1, "n_all": 2, "entry": "x", "source": src, "merit": m, "chosen": w},
-                st.integers(0, 2000), st.integers(1, 300), st.booleans(), st.integers(0, 5), st.sampled_from([0.2, 0.7]), st.sampled_from("ab"))
+LINE = "entry string, source string, row_id bigint, s bigint, e bigint, norm string, title string"
+
+
+def random_entries(n, seed):
+    """Winners and all rows of several sources, of n entries."""
+    rng = random.Random(seed)
+    winners, rows = [], []
+    for k in range(n):
+        for i in range(rng.randrange(1, 25)):
+            s = rng.randrange(0, 600) * 60
+            r = (f"x{k}", rng.choice("abc"), 1000 * k + i, s, s + rng.randrange(0, 150) * 60, f"T{rng.randrange(5)}", "t")
+            rows.append((*r, {"a": 0.9, "b": 0.5, "c": 0.5}[r[1]]))
+            if r[1] == "a" and r[4] > r[3]:
+                winners.append(r)
+    return winners, rows
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(row, min_size=1, max_size=40))
-def test_timeline_never_overlaps(rows):
-    got = fuse._per_entry(pd.DataFrame(rows)).sort_values("s")
-    assert (got["e"] - got["s"] >= 60).all()
-    ends = got["e"].cummax().shift()
+def test_timeline_never_overlaps(spark):
+    winners, rows = random_entries(60, 1)
+    line = fuse.in_line(spark.createDataFrame(winners, LINE))
+    got = fuse.closed(fuse.filled(line, spark.createDataFrame(rows, LINE + ", merit double"))).toPandas().sort_values(["entry", "s"])
+    assert (got["e"] - got["s"] >= 60).all() and set(got["kind"]) == {"window", "fill"}
+    ends = got.groupby("entry")["e"].transform(lambda e: e.cummax().shift())
     assert not (got["s"] < ends).any()
 
 
-def test_verified_source_fills_the_gap():
-    base = {"norm": "N", "title": "N", "rich": 0.5, "n_src": 2, "n_all": 2, "entry": "x", "merit": 0.9, "win": 0}
-    rows = [base | {"row_id": 1, "s": 0, "e": H, "source": "a", "chosen": True, "norm": "JORNAL"}, base | {"row_id": 2, "s": 2 * H, "e": 3 * H, "source": "a", "chosen": True, "norm": "NOVELA"},
-            base | {"row_id": 3, "s": H, "e": 2 * H, "source": "b", "chosen": False, "norm": "BOLETIM", "merit": 0.5}]
-    got = fuse._per_entry(pd.DataFrame(rows)).sort_values("s")
-    assert list(got["norm"]) == ["JORNAL", "BOLETIM", "NOVELA"] and list(got["kind"]) == ["window", "fill", "window"]
+def test_gaps_against_brute_force(spark):
+    """Minute by minute: free time goes to the best row, and from parts that are too short to the rows after them."""
+    winners, rows = random_entries(40, 2)
+    line = [tuple(r) for r in fuse.in_line(spark.createDataFrame(winners, LINE)).collect()]
+    want = set()
+    for x in {r[0] for r in rows}:
+        taken = {m for r in line if r[0] == x for m in range(r[3] // 60, -(-r[4] // 60))}
+        mine = sorted({r for r in rows if r[0] == x and r[4] - r[3] >= fuse.MIN_S}, key=lambda r: (-r[7], r[1], r[3], r[2]))
+        claims = {m: [r for r in mine if r[3] <= m * 60 < r[4]] for m in range(800) if m not in taken}
+        while True:
+            won = {m: c[0] for m, c in claims.items() if c}
+            parts, at = [], None
+            for m in sorted(won):
+                if parts and at == m - 1 and parts[-1][0] == won[m]:
+                    parts[-1][1].append(m)
+                else:
+                    parts.append((won[m], [m]))
+                at = m
+            # parts of one row count as one where only other rows' claims of no length lie between
+            short = [(r, ms) for r, ms in parts if not (60 * len(ms) >= fuse.CLAMP_S or (60 * len(ms) >= fuse.MIN_S and 60 * len(ms) >= fuse.LEAST_SHARE * (r[4] - r[3])))]
+            if not short:
+                break
+            for r, ms in short:
+                for m in ms:
+                    claims[m].remove(r)
+        want |= {(x, r[2], ms[0] * 60, ms[-1] * 60 + 60) for r, ms in parts}
+    got = fuse.filled(spark.createDataFrame(line, LINE), spark.createDataFrame(rows, LINE + ", merit double")).filter("kind = 'fill'")
+    assert {(r.entry, r.row_id, r.s, r.e) for r in got.collect()} == want
+
+
+def test_verified_source_fills_the_gap(spark):
+    line = spark.createDataFrame([("x", "a", 1, 0, H, "JORNAL", ""), ("x", "a", 2, 2 * H, 3 * H, "NOVELA", "")], LINE)
+    spare = spark.createDataFrame([("x", "b", 3, H, 2 * H, "BOLETIM", "", 0.5), ("x", "b", 4, 2 * H, 3 * H, "OUTRA", "", 0.5)], LINE + ", merit double")
+    got = fuse.closed(fuse.filled(fuse.in_line(line), spare)).orderBy("s").collect()
+    assert [(r.norm, r.kind) for r in got] == [("JORNAL", "window"), ("BOLETIM", "fill"), ("NOVELA", "window")]
+
+
+def test_winners_in_line(spark):
+    m = 60
+    cases = {
+        "later cuts": ([(0, 60, "A"), (30, 90, "B")], [(0, 30, "A"), (30, 90, "B")]), "same moment": ([(0, 60, "A"), (4, 90, "B")], [(0, 60, "A"), (60, 90, "B")]),
+        "same title": ([(0, 60, "A"), (20, 80, "A"), (80, 90, "B")], [(0, 80, "A"), (80, 90, "B")]), "nested": ([(0, 60, "A"), (20, 40, "B")], [(0, 20, "A"), (20, 40, "B")]), "short rest": ([(0, 60, "A"), (59, 61, "A2"), (1, 61, "B")], [(0, 59, "A"), (59, 61, "A2")]),
+    }
+    rows = [(x, "a", i, s * m, e * m, n, n) for x, (given, _) in cases.items() for i, (s, e, n) in enumerate(given)]
+    got = fuse.in_line(spark.createDataFrame(rows, LINE)).collect()
+    for x, (_, want) in cases.items():
+        assert sorted((r.s // m, r.e // m, r.norm) for r in got if r.entry == x) == want, x
