@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names, similarity
-from ..runtime import small
+from ..runtime import materialise, small
 
 FUZZY_THRESHOLD, FUZZY_MARGIN, FUZZY_BOUND, FUZZY_LENGTH = 0.82, 0.03, 0.79, 4
+#: Rules of expansion are tried one by one on every name, without a join.
+MAX_RULES = 1_000
 #: Words at a name's end that a wider tier drops, next to federal units.
 LOCAL_WORDS = ("CAPITAL", "INTERIOR", "LOCAL")
 
@@ -22,7 +24,11 @@ def tiers(dictionary: DataFrame, expansions: DataFrame | None = None) -> DataFra
     two = one.select("key", "name", F.lit(2).alias("tier"), "pos", F.trim(F.regexp_replace("alias", rf"(?i)[\s/(-]+(?:{words})\)?\s*$", "")).alias("alias"))
     every = one.unionByName(two)
     if expansions is not None:
-        three = dictionary.select("key", "name").join(small(expansions), F.expr("upper(name) RLIKE trigger")).select("key", "name", F.lit(3).alias("tier"), F.lit(0).alias("pos"), F.col("alias"))
+        rules = expansions.select("trigger", "alias").limit(MAX_RULES + 1).collect()
+        if len(rules) > MAX_RULES:
+            raise ValueError(f"more than {MAX_RULES} expansions")
+        added = F.array_compact(F.array(F.lit(None).cast("string"), *(F.when(F.upper("name").rlike(r.trigger), F.lit(r.alias)) for r in rules)))
+        three = dictionary.select("key", "name", F.lit(3).alias("tier"), F.lit(0).alias("pos"), F.explode(added).alias("alias"))
         every = every.unionByName(three)
     e = every.withColumn("norm", names.norm_name(F.col("alias"))).filter("norm != ''")
     return e.groupBy("key", "name", "norm").agg(F.min(F.struct("tier", "pos", "alias")).alias("f")).select("key", "name", "norm", "f.*")
@@ -60,27 +66,47 @@ def tiered(candidates: DataFrame, row_counts: DataFrame) -> DataFrame:
     return best.join(stop, "key", "left").filter(F.col("stop").isNull() | (F.col("tier") <= F.col("stop"))).drop("stop")
 
 
-def fuzzy_pairs(aliases: DataFrame, channels: DataFrame) -> DataFrame:
-    """Pairs of an alias and a channel's name of equal digits whose ratio may reach the bound, by length and by letters.
+def near_texts(aliases: DataFrame, channels: DataFrame) -> DataFrame:
+    """a, b: different pairs of an alias and a channel's name of equal digits whose ratio may reach the bound.
 
-    The join is on digits and length: each alias is spread over the lengths that the bound allows.
+    Equal texts are compared once, whoever has them. The join is on digits and length: each alias is spread over the
+    lengths that the bound allows; the letters both have bound the ratio before it is computed.
     """
-    a = aliases.select("key", F.col("norm").alias("a")).filter(F.length("a") >= FUZZY_LENGTH).distinct().withColumn("digits", names.digits(F.col("a"))).withColumn("mask_a", similarity.letters_mask(F.col("a")))
+    a = aliases.select(F.col("norm").alias("a")).filter(F.length("a") >= FUZZY_LENGTH).distinct().withColumn("digits", names.digits(F.col("a"))).withColumn("mask_a", similarity.letters_mask(F.col("a")))
     low, high = FUZZY_BOUND / (2 - FUZZY_BOUND), (2 - FUZZY_BOUND) / FUZZY_BOUND
     a = a.withColumn("n", F.explode(F.sequence(F.ceil(F.length("a") * low).cast("int"), F.floor(F.length("a") * high).cast("int"))))
-    b = channel_names(channels).select("source", "channel_id", F.col("norm").alias("b")).distinct().withColumn("digits", names.digits(F.col("b"))).withColumn("n", F.length("b")).withColumn("mask_b", similarity.letters_mask(F.col("b")))
+    b = channels.select(F.col("norm").alias("b")).distinct().withColumn("digits", names.digits(F.col("b"))).withColumn("n", F.length("b")).withColumn("mask_b", similarity.letters_mask(F.col("b")))
     near = similarity.mask_bound(F.length("a"), F.length("b"), F.col("mask_a"), F.col("mask_b")) >= FUZZY_BOUND  # cheap, so it comes first
-    return a.join(b, ["digits", "n"]).filter(near & (similarity.length_bound(F.col("a"), F.col("b")) >= FUZZY_BOUND) & (similarity.letter_bound(F.col("a"), F.col("b")) >= FUZZY_BOUND)).drop("n", "mask_a", "mask_b")
+    return a.join(b, ["digits", "n"]).filter(near & (similarity.length_bound(F.col("a"), F.col("b")) >= FUZZY_BOUND) & (similarity.letter_bound(F.col("a"), F.col("b")) >= FUZZY_BOUND)).select("a", "b")
+
+
+def _sides(aliases: DataFrame, channels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return aliases.select("key", F.col("norm").alias("a")).distinct(), channels.select("source", "channel_id", F.col("norm").alias("b")).distinct()
+
+
+def fuzzy_pairs(aliases: DataFrame, channels: DataFrame) -> DataFrame:
+    """key, source, channel_id, a, b of every pair of an entry's alias and a channel's name in ``near_texts``."""
+    named = channel_names(channels)
+    a, b = _sides(aliases, named)
+    return a.join(near_texts(aliases, named), "a").join(b, "b")
 
 
-def fuzzy(aliases: DataFrame, channels: DataFrame) -> DataFrame:
-    """key, source, channel_id, match_score of the most similar channel where it leads the next one of the source."""
-    p = fuzzy_pairs(aliases, channels).withColumn("r", similarity.ratio(F.col("a"), F.col("b"))).filter(F.col("r") >= FUZZY_BOUND)
-    per = p.groupBy("key", "source", "channel_id").agg(F.max("r").alias("r"))
-    w = Window.partitionBy("key", "source").orderBy(F.desc("r"), F.desc("channel_id"))
-    top = per.withColumn("k", F.row_number().over(w)).filter("k <= 2").groupBy("key", "source").agg(
-        F.max(F.when(F.col("k") == 1, F.struct("channel_id", "r"))).alias("b"), F.max(F.when(F.col("k") == 2, F.col("r"))).alias("next"))
-    return top.filter((F.col("b.r") >= FUZZY_THRESHOLD) & (F.col("b.r") - F.coalesce("next", F.lit(0.0)) >= FUZZY_MARGIN)).select(
+def fuzzy(aliases: DataFrame, channels: DataFrame, **rules) -> DataFrame:
+    """key, source, channel_id, match_score of the most similar channel where it leads the next one of the source.
+
+    Foreign names match none but foreign ones, and ``veto`` (its parameters are ``rules``) leaves pairs out before their
+    ratio is computed.
+    """
+    own = aliases.filter(names.country(F.col("name")) == "")
+    named = channel_names(channels).filter(names.country(F.col("name")) == "")
+    pairs = near_texts(own, named).filter(~veto(F.col("a"), F.col("b"), **rules))
+    scored = materialise(pairs.withColumn("r", similarity.ratio(F.col("a"), F.col("b"))).filter(F.col("r") >= FUZZY_BOUND))
+    a, b = _sides(own, named)
+    per = a.join(scored, "a").join(b, "b").groupBy("key", "source", "channel_id").agg(F.max("r").alias("r"))
+    # the two best by partial results: a source may declare any number of channels
+    best = per.groupBy("key", "source").agg(F.max(F.struct("r", "channel_id")).alias("b"))
+    rest = per.join(best, ["key", "source"]).filter(F.col("channel_id") != F.col("b.channel_id")).groupBy("key", "source").agg(F.max("r").alias("next"))
+    return best.join(rest, ["key", "source"], "left").filter((F.col("b.r") >= FUZZY_THRESHOLD) & (F.col("b.r") - F.coalesce("next", F.lit(0.0)) >= FUZZY_MARGIN)).select(
         "key", "source", F.col("b.channel_id").alias("channel_id"), F.round("b.r", 6).alias("match_score"))
 
 
@@ -117,12 +143,39 @@ def tail_donors(matches: DataFrame, coverage: DataFrame, now: int, hours: int =
 
 #: Words that must stand in both names or in neither. A parameter of ``veto``.
 TELLING_WORDS = ("NEWS", "NOTICIAS", "KIDS", "INFANTIL", "SPORTS", "ESPORTES", "MUSIC", "MUSICA", "FILMES", "MOVIES", "PLUS", "2", "3")
+#: Pairs of words of which one within the other is no sign of sameness.
+NESTED_WORDS = (("BRASILIA", "BRASIL"),)
+
 
+def _behind(c: Column, network: str) -> Column:
+    """What follows a network's name at the start of a normalised name, '-' if it does not start so."""
+    return F.when(c.rlike(f"^(?:TV|REDE)?{network}"), F.regexp_replace(c, f"^(?:TV|REDE)?{network}(?:TV)?", "")).otherwise("-")
 
-def veto(a: Column, b: Column, words: tuple[str, ...] = TELLING_WORDS) -> Column:
-    """Whether two normalised names must not be matched by similarity: a telling word in one only, or names that begin
-    apart and are less similar than 0.8 by their letters."""
+
+def veto(a: Column, b: Column, words: tuple[str, ...] = TELLING_WORDS, networks: tuple[str, ...] = (), brands: tuple[str, ...] = ()) -> Column:
+    """Whether two different normalised names must not be matched by similarity.
+
+    A telling word in one only; names that only differ by NESTED_WORDS; different networks; the same network with other
+    states, or a state against none, or places that neither begin alike nor hold each other; a local brand in b that a
+    does not have, not even cut off; and, where no network tells, names that begin apart and are less similar than 0.8.
+    """
+    apart = lambda x, y: (F.substring(x, 1, 4) != F.substring(y, 1, 4)) & (similarity.letter_bound(x, y) < 0.8)
+    is_uf = lambda x: x.isin(*names.UFS)
     out = F.lit(False)
     for w in words:
         out = out | (F.contains(a, F.lit(w)) != F.contains(b, F.lit(w)))
-    return out | ((F.substring(a, 1, 4) != F.substring(b, 1, 4)) & (similarity.letter_bound(a, b) < 0.8))
+    for long, short in NESTED_WORDS:
+        out = out | (F.replace(a, F.lit(long), F.lit(short)) == F.replace(b, F.lit(long), F.lit(short)))
+    for w in brands:
+        out = out | (b.startswith(w) & ~a.startswith(w) & ~a.startswith(w[:2]))
+    none = F.lit(True)
+    for i, n in enumerate(networks):
+        x, y = _behind(a, n), _behind(b, n)
+        both = (x != "-") & (y != "-")
+        other = F.lit(False)
+        for m in networks[:i] + networks[i + 1:]:
+            other = other | ((x != "-") & (_behind(b, m) != "-"))
+        places = (x != "") & (y != "") & ~F.contains(x, y) & ~F.contains(y, x) & apart(x, y)
+        out = out | other | (both & ((is_uf(x) & (y == "")) | (is_uf(y) & (x == "")) | (is_uf(x) & is_uf(y) & (x != y)) | places))
+        none = none & ~both
+    return (a != b) & (out | (none & apart(a, b)))

@@ -331,7 +331,7 @@ _VETO = " OR ".join(f"contains(a, {lit(w)}) != contains(b, {lit(w)})" for w in m
 @query(f"""{_tiers_sql()}, {_PC}, aa AS (SELECT DISTINCT key, norm AS a, array_to_string(regexp_extract_all(norm, '\\d+'), ',') AS dg FROM ti WHERE length(norm) >= {match.FUZZY_LENGTH}),
 bb AS (SELECT DISTINCT source, channel_id, b, array_to_string(regexp_extract_all(b, '\\d+'), ',') AS dg FROM (SELECT source, channel_id, {nn('display_names[1]')} AS b FROM pc) WHERE b != ''),
 pr AS (SELECT *, 2.0::DOUBLE * ({_COMMON} + {_REST}) / (length(a) + length(b)) AS lb FROM aa JOIN bb USING (dg) WHERE 2.0::DOUBLE * least(length(a), length(b)) / (length(a) + length(b)) >= {match.FUZZY_BOUND})
-SELECT key, count(*) AS n_pairs, count(*) FILTER (({_VETO}) OR (substr(a, 1, 4) != substr(b, 1, 4) AND lb < 0.8)) AS n_vetoed FROM pr WHERE lb >= {match.FUZZY_BOUND} GROUP BY key""")
+SELECT key, count(*) AS n_pairs, count(*) FILTER (a != b AND (({_VETO}) OR replace(a, 'BRASILIA', 'BRASIL') = replace(b, 'BRASILIA', 'BRASIL') OR (substr(a, 1, 4) != substr(b, 1, 4) AND lb < 0.8))) AS n_vetoed FROM pr WHERE lb >= {match.FUZZY_BOUND} GROUP BY key""")
 def fuzzy_veto(spark, sf_dir):
     p = match.fuzzy_pairs(match.tiers(_d(spark, sf_dir)), _pc(spark, sf_dir))
     return p.groupBy("key").agg(F.count("*").alias("n_pairs"), F.count_if(match.veto(F.col("a"), F.col("b"))).alias("n_vetoed"))

@@ -108,12 +108,17 @@ def title_clean(spark, sf_dir):
 
 
 def _se_sql() -> str:
-    hit = lambda p, g: f"try_cast(regexp_extract(title, {lit(p)}, {g}) AS INT)"
-    ok = [f"({hit(p, 1)} BETWEEN 1 AND 60 AND {hit(p, 2)} BETWEEN 1 AND 999)" for p in titles.SEASON_EPISODE]
-    only = hit(titles.EPISODE_ONLY, 1)
-    season = " ".join(f"WHEN {o} THEN {hit(p, 1)}" for o, p in zip(ok, titles.SEASON_EPISODE))
-    episode = " ".join(f"WHEN {o} THEN {hit(p, 2)}" for o, p in zip(ok, titles.SEASON_EPISODE))
-    return f"SELECT row_id, CASE {season} END AS season, CASE {episode} WHEN {only} BETWEEN 1 AND 1500 THEN {only} END AS episode FROM programmes WHERE title IS NOT NULL"
+    """Words and numbers told apart by position, not by the pattern of the column function."""
+    w = "string_split(trim(regexp_replace(regexp_replace(regexp_replace(upper(strip_accents(regexp_replace(title, '[ªº]', ' ORD '))), '([A-Z])([0-9])', '\\1 \\2', 'g'), '([0-9])([A-Z])', '\\1 \\2', 'g'), '[^A-Z0-9]+', ' ', 'g')), ' ')"
+    s, e = "('S', 'T', 'TEMP', 'TEMPORADA')", "('E', 'EP', 'EPIS', 'EPISODIO')"
+    n = lambda i: f"(length(w[{i}]) > 0 AND w[{i}] = regexp_extract(w[{i}], '[0-9]+'))"
+    return f"""SELECT row_id, CASE WHEN ok THEN se END AS season, CASE WHEN ok THEN ep WHEN one BETWEEN 1 AND 1500 THEN one END AS episode FROM (
+ SELECT row_id, se, ep, one, coalesce(se BETWEEN 1 AND 60 AND ep BETWEEN 1 AND 999, false) AS ok FROM (SELECT row_id, w,
+  list_filter(range(1, len(w) + 1), lambda i: w[i] IN {s} AND {n('i + 1')} AND length(w[i + 1]) <= 2 AND w[i + 2] IN {e} AND {n('i + 3')} AND length(w[i + 3]) <= 4)[1] AS a,
+  list_filter(range(1, len(w) + 1), lambda i: {n('i')} AND length(w[i]) <= 2 AND w[i + 1] = 'ORD' AND w[i + 2] IN {s} AND w[i + 3] IN {e} AND {n('i + 4')} AND length(w[i + 4]) <= 4)[1] AS b,
+  list_filter(range(1, len(w) + 1), lambda i: w[i] IN ('EP', 'EPIS', 'EPISODIO') AND {n('i + 1')} AND length(w[i + 1]) <= 4)[1] AS c,
+  CASE WHEN a IS NOT NULL THEN w[a + 1]::INT WHEN b IS NOT NULL THEN w[b]::INT END AS se, CASE WHEN a IS NOT NULL THEN w[a + 3]::INT WHEN b IS NOT NULL THEN w[b + 4]::INT END AS ep, w[c + 1]::INT AS one
+  FROM (SELECT row_id, {w} AS w FROM programmes WHERE title IS NOT NULL)))"""
 
 
 @query(f"SELECT row_id, coalesce(season, 0) AS season, episode FROM ({_se_sql()}) WHERE episode IS NOT NULL")

@@ -1,5 +1,7 @@
 """Name owners, poisoned identifiers, tiers and playlists on small tables."""
 
+from pyspark.sql import functions as F
+
 from gradeweave.operators import catalog, match, playlist
 from gradeweave.sources import m3u
 
@@ -43,3 +45,18 @@ def test_rekey(spark):
     g = spark.createDataFrame([("1", "Canal Um"), ("2", "Rede Norte Sul"), ("3", "Dupla"), ("4", "Dupla")], "id string, name string")
     e = spark.createDataFrame([(1, "", "", "CANAL UM HD"), (2, "", "", "Sul Norte Rede"), (3, "", "", "Dupla"), (4, "3", "", "Sem"), (5, None, None, "Nada")], "entry_id int, tvg_id string, tvg_name string, display_name string")
     assert {r.entry_id: (r.new_id, r.reason) for r in playlist.rekeyed(e, g).collect()} == {1: ("1", "name"), 2: ("2", "words"), 3: ("", "ambiguous"), 4: ("3", "kept"), 5: ("", "none")}
+
+
+def test_veto_of_networks_and_places(spark):
+    """Fixture cases of names that look alike (R5-R8)."""
+    cases = [("GLOBOPE", "GLOBOSP", True), ("GLOBOPA", "GLOBOSP", True), ("SBTRECIFE", "GLOBORECIFE", True), ("GLOBOPE", "GLOBOPERNAMBUCO", False), ("TVBRASILIA", "TVBRASIL", True), ("RECORDTVBRASILIA", "RECORDTVBRASIL", True),
+             ("TVCAMPINAS", "EPTVCAMPINAS", True), ("EPCAMPINAS", "EPTVCAMPINAS", False), ("SBTCAMPINAS", "SBTMINAS", True), ("RECORDTVMANAUS", "RECORDTVMINAS", True), ("GLOBOTVVANGSJCAMPOS", "GLOBOTVVANGUARDASJDOSCAMPOS", False)]
+    rules = {"networks": ("GLOBO", "SBT", "RECORD", "BAND"), "brands": ("EPTV",)}
+    df = spark.createDataFrame(cases, "a string, b string, want boolean")
+    assert [(r.a, r.b) for r in df.select("a", "b", "want", match.veto(F.col("a"), F.col("b"), **rules).alias("got")).collect() if r.got != r.want] == []
+
+
+def test_similar_names_of_other_kinds_are_left_out(spark):
+    d = spark.createDataFrame([("k", "Canal Bodegavo Norte", [], []), ("p", "PT Canal Mecanorivo", [], [])], "key string, name string, aliases array<string>, tvg_ids array<string>")
+    c = spark.createDataFrame([("s", "c1", ["Canal Bodegavo Norte Kids"]), ("t", "c2", ["Canal Bodegavo Nort"]), ("t", "c3", ["Canal Mecanorivos"])], "source string, channel_id string, display_names array<string>")
+    assert [(r.key, r.channel_id) for r in match.fuzzy(match.tiers(d), c).collect()] == [("k", "c2")]
