@@ -57,9 +57,16 @@ def agreements(left: DataFrame, right: DataFrame, exact: bool = True, bucket_s:
         .withColumn("time", F.greatest(F.col("o"), F.lit(1.0) - delta / F.lit(float(TOLERANCE_S)), F.lit(0.0)))
     )
     row = ["entry", "a", "b", "shift", "row_id"]
-    # scored where the pairs are joined: only the best per row are shuffled, in partial results
-    scored = pairs.withColumn("score", _title_score("t1", "t2", exact))
-    best = scored.groupBy(*row).agg(F.max(F.struct("time", "score")).alias("m")).select(*row, F.col("m.score").alias("score"))
+    if exact:  # scored where the pairs are joined: only the best per row are shuffled, in partial results
+        best = pairs.withColumn("score", _title_score("t1", "t2", True)).groupBy(*row).agg(F.max(F.struct("time", "score")).alias("m")).select(*row, F.col("m.score").alias("score"))
+    else:  # the title only counts among rows of the best time, so no other pair needs its ratio
+        near = pairs.groupBy(*row).agg(F.max("time").alias("top"), F.first("t1").alias("t1"), F.collect_set(F.struct("time", "t2")).alias("c"))
+        tops = near.select(*row, "t1", F.explode(F.filter("c", lambda x: x["time"] == F.col("top"))).alias("x")).select(*row, "t1", F.col("x.t2").alias("t2"))
+        # an explicit number of partitions: pairs are few bytes but much work, which must not be coalesced into few tasks
+        spark = left.sparkSession
+        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        scored = tops.repartition(tasks, "t1", "t2").withColumn("score", _title_score("t1", "t2", False))  # equal pairs meet one worker's memory
+        best = scored.groupBy(*row).agg(F.max("score").alias("score"))
     return best.groupBy("entry", "a", "b", "shift").agg(
         F.count("*").alias("comparable"), F.round(F.sum(F.when(F.col("score") >= AGREED, 1).otherwise(0)) / F.count("*"), 4).alias("agreement"), F.round(F.avg("score"), 4).alias("similarity"))
 

@@ -99,8 +99,8 @@ def fuzzy(aliases: DataFrame, channels: DataFrame, **rules) -> DataFrame:
     """
     own = aliases.filter(names.country(F.col("name")) == "")
     named = channel_names(channels).filter(names.country(F.col("name")) == "")
-    pairs = near_texts(own, named).filter(~veto(F.col("a"), F.col("b"), **rules))
-    scored = materialise(pairs.withColumn("r", similarity.ratio(F.col("a"), F.col("b"))).filter(F.col("r") >= FUZZY_BOUND))
+    pairs = materialise(near_texts(own, named))  # apart from the veto, which would have the bounds computed for every pair
+    scored = materialise(pairs.filter(~veto(F.col("a"), F.col("b"), **rules)).withColumn("r", similarity.ratio(F.col("a"), F.col("b"))).filter(F.col("r") >= FUZZY_BOUND))
     a, b = _sides(own, named)
     per = a.join(scored, "a").join(b, "b").groupBy("key", "source", "channel_id").agg(F.max("r").alias("r"))
     # the two best by partial results: a source may declare any number of channels
