@@ -142,7 +142,7 @@ def token_set(c: Column) -> Column:
 def camel_id(c: Column) -> Column:
     """Capitalised words joined, with the country's domain."""
     words = F.regexp_extract_all(apply(c, (UNESCAPE, UNACCENT)), F.lit(r"([A-Za-z0-9]+)"), 1)
-    return F.concat(F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1000)))), ""), F.lit(".br"))
+    return F.concat(F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, F.lit(2), F.length(w))))), ""), F.lit(".br"))
 
 
 def automatic_id(c: Column) -> Column:

@@ -139,12 +139,12 @@ def learned_catalog(spark, sf_dir):
     return c.select("key", "observations", "blank_ids", ids.alias("ids"))
 
 
-@query("""WITH f AS (SELECT doc_id AS file, sha256(text) AS fp FROM documents WHERE text IS NOT NULL), k AS (SELECT DISTINCT sha256(text) AS fp FROM documents WHERE doc_id < 300 AND text IS NOT NULL)
+@query("""WITH f AS (SELECT doc_id AS file, sha256(text) AS fp FROM documents WHERE text IS NOT NULL), k AS (SELECT DISTINCT sha256(text) AS fp FROM documents WHERE source = 'guia_impresso' AND text IS NOT NULL)
 SELECT fp AS fingerprint, min(file) AS file, count(*) AS n_copies FROM f WHERE fp NOT IN (SELECT fp FROM k) GROUP BY fp""")
 def fingerprint_skip(spark, sf_dir):
-    d = load(spark, sf_dir, "documents").filter("text IS NOT NULL").select(F.col("doc_id").alias("file"), F.col("text").alias("content"))
-    known = d.filter("file < 300").select(F.sha2("content", 256).alias("fingerprint"))
-    return catalog.new_files(d, known)
+    d = load(spark, sf_dir, "documents").filter("text IS NOT NULL").select(F.col("doc_id").alias("file"), F.col("text").alias("content"), "source")
+    known = d.filter("source = 'guia_impresso'").select(F.sha2("content", 256).alias("fingerprint"))
+    return catalog.new_files(d.drop("source"), known)
 
 
 def _tiers_sql() -> str:

@@ -164,10 +164,10 @@ def window_election_6h(spark, sf_dir):
     return C.elected(r, merits)
 
 
-@query(f"{REPAIRED}, x AS (SELECT *, {_ENTRY} AS entry FROM f) SELECT entry, (s // 21600)::BIGINT AS win, norm, count(DISTINCT source) AS n_sources FROM x WHERE s >= {NOW} - 21600 AND s < {NOW} + 259200 GROUP BY ALL HAVING count(DISTINCT source) >= 2")
+@query(f"{REPAIRED}, x AS (SELECT *, {_ENTRY} AS entry FROM f) SELECT entry, ((s - ({NOW} - 21600)) // 21600)::BIGINT AS win, norm, count(DISTINCT source) AS n_sources FROM x WHERE s >= {NOW} - 21600 AND s < {NOW} + 259200 GROUP BY ALL HAVING count(DISTINCT source) >= 2")
 def title_support(spark, sf_dir):
     r = entries(spark, sf_dir).filter((F.col("s") >= NOW - 21600) & (F.col("s") < NOW + 259200))
-    return r.groupBy("entry", F.expr("s div 21600").alias("win"), "norm").agg(F.count_distinct("source").alias("n_sources")).filter("n_sources >= 2")
+    return r.groupBy("entry", F.expr(f"(s - {NOW - 21600}) div 21600").alias("win"), "norm").agg(F.count_distinct("source").alias("n_sources")).filter("n_sources >= 2")
 
 
 @query()

@@ -71,27 +71,30 @@ def json_props(spark, sf_dir):
                     F.coalesce(F.json_array_length(F.get_json_object("j", "$.categories")), F.lit(0)).cast("bigint").alias("n_categories"), get("$.categories[0]", "").alias("first_category"))
 
 
-@query("SELECT source, channel_id, epoch(start)::BIGINT AS s, epoch(stop)::BIGINT AS e, count(*) AS n FROM programmes WHERE source = 'brisaplayapi' AND start IS NOT NULL AND stop IS NOT NULL AND title IS NOT NULL AND channel_id IS NOT NULL GROUP BY ALL")
+@query("SELECT source, channel_id, epoch(start)::BIGINT AS s, epoch(stop)::BIGINT AS e, count(*) AS n FROM programmes WHERE source IS NOT NULL AND start IS NOT NULL AND stop IS NOT NULL AND title IS NOT NULL AND channel_id IS NOT NULL GROUP BY ALL")
 def json_records(spark, sf_dir):
-    """Rows of one feed written as its JSON records and read back."""
-    p = load(spark, sf_dir, "programmes").filter("source = 'brisaplayapi' AND start IS NOT NULL AND stop IS NOT NULL AND title IS NOT NULL AND channel_id IS NOT NULL")
-    docs = p.select(F.to_json(F.struct(F.col("channel_id").alias("id_canal"), "title", F.unix_millis("start").alias("startTime"), F.unix_seconds("stop").cast("string").alias("endTime"))).alias("json"))
-    r = feeds.schedule_records(docs, "brisaplayapi")
+    """Rows of all feeds written as JSON records and read back."""
+    p = load(spark, sf_dir, "programmes").filter("source IS NOT NULL AND start IS NOT NULL AND stop IS NOT NULL AND title IS NOT NULL AND channel_id IS NOT NULL")
+    docs = p.select("source", F.to_json(F.struct(F.col("channel_id").alias("id_canal"), "title", F.unix_millis("start").alias("startTime"), F.unix_seconds("stop").cast("string").alias("endTime"))).alias("json"))
+    r = feeds.schedule_records(docs, F.col("source"))
     return r.groupBy("source", "channel_id", F.unix_seconds("start").alias("s"), F.unix_seconds("stop").alias("e")).agg(F.count("*").alias("n"))
 
 
-_HTML = "title IS NOT NULL AND NOT regexp_matches(title, '[<>&]') AND trim(title) != '' AND start IS NOT NULL AND channel_id IS NOT NULL AND source = 'guiaserra'"
+_HTML = "title IS NOT NULL AND trim(regexp_replace(title, '[\\s\\p{Z}]+', ' ', 'g')) != '' AND start IS NOT NULL AND channel_id IS NOT NULL AND source IS NOT NULL"
 
 
-@query(f"""WITH o AS (SELECT channel_id, epoch(start)::BIGINT AS s, min(trim(title)) AS title FROM programmes WHERE {_HTML} GROUP BY ALL), n AS (SELECT *, lead(s) OVER (PARTITION BY channel_id ORDER BY s) AS nxt FROM o)
-SELECT channel_id, s, least(s + 2700, coalesce(nxt, s + 2700)) AS e, title FROM n""")
+@query(f"""WITH o AS (SELECT source, channel_id, epoch(start)::BIGINT AS s, min(trim(title)) AS title FROM programmes WHERE {_HTML} GROUP BY ALL), n AS (SELECT *, lead(s) OVER (PARTITION BY source, channel_id ORDER BY s) AS nxt FROM o)
+SELECT source, channel_id, s, least(s + 2700, coalesce(nxt, s + 2700)) AS e, title FROM n""")
 def html_extract(spark, sf_dir):
-    """Rows of one guide written as its pages and read back, with stops from a duration of 45 minutes cut at the next start."""
-    p = load(spark, sf_dir, "programmes").filter(F.expr("title IS NOT NULL AND NOT title RLIKE '[<>&]' AND start IS NOT NULL AND channel_id IS NOT NULL AND source = 'guiaserra'"))
+    """Rows of all feeds written as a guide's pages and read back, with stops from a duration of 45 minutes cut at the next start."""
+    p = load(spark, sf_dir, "programmes").filter(F.expr("title IS NOT NULL AND start IS NOT NULL AND channel_id IS NOT NULL AND source IS NOT NULL") & (F.regexp_replace("title", r"[\s\p{Z}]", "") != ""))
     iso = F.date_format("start", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    pages = p.select("channel_id", F.concat(F.lit('<ul><li><time datetime="'), iso, F.lit('">x</time><h3><b>'), "title", F.lit('</b></h3><span class="duration">45 min</span></li></ul>')).alias("html"))
-    r = feeds.timed_items(pages, "guiaserra")
-    return r.select("channel_id", F.unix_seconds("start").alias("s"), F.unix_seconds("stop").alias("e"), F.regexp_replace("title", r"^[\s\p{Z}]+|[\s\p{Z}]+$", "").alias("title")).filter("title != ''")
+    text = F.col("title")
+    for mark, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(mark), F.lit(entity))
+    pages = p.select("source", "channel_id", F.concat(F.lit('<ul><li><time datetime="'), iso, F.lit('">x</time><h3><b>'), text, F.lit('</b></h3><span class="duration">45 min</span></li></ul>')).alias("html"))
+    r = feeds.timed_items(pages, F.col("source"))
+    return r.select("source", "channel_id", F.unix_seconds("start").alias("s"), F.unix_seconds("stop").alias("e"), "title")
 
 
 _X = """WITH p AS (SELECT channel_id, epoch(start)::BIGINT AS s, epoch(stop)::BIGINT AS e, coalesce(len(meta.categories), 0) AS c FROM programmes WHERE stop > start AND title IS NOT NULL AND trim(title) != '' AND channel_id IS NOT NULL)"""
@@ -115,10 +118,10 @@ def xmltv_document(spark, sf_dir):
 
 
 @query("""WITH m AS (SELECT source, channel_id FROM programmes WHERE source = 'guiaserra' GROUP BY ALL HAVING count(*) >= 5) SELECT row_id FROM programmes WHERE source = 'guiaserra' UNION ALL
-SELECT row_id FROM programmes WHERE source = 'telefinal' AND channel_id NOT IN (SELECT channel_id FROM m)""")
+SELECT row_id FROM programmes WHERE source != 'guiaserra' AND channel_id NOT IN (SELECT channel_id FROM m)""")
 def fallback_anti_join(spark, sf_dir):
     p = load(spark, sf_dir, "programmes", ["row_id", "source", "channel_id"]).filter("channel_id IS NOT NULL")
-    return feeds.only_missing(p.filter("source = 'guiaserra'"), p.filter("source = 'telefinal'"), "channel_id").select("row_id")
+    return feeds.only_missing(p.filter("source = 'guiaserra'"), p.filter("source != 'guiaserra'"), "channel_id").select("row_id")
 
 
 @query(f"SELECT d.key FROM channel_dictionary d SEMI JOIN (SELECT {nn('display_name')} AS n FROM playlist_entries) p ON p.n = {nn('d.name')}")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import clock, titles
+from ..functions import clock, rules, titles
 from ..operators import series
 
 #: Names of months in Portuguese.
@@ -22,7 +22,12 @@ def field(json: Column, *paths: str) -> Column:
     return F.coalesce(*(F.get_json_object(json, p) for p in paths))
 
 
-def schedule_records(docs: DataFrame, source: str, lineup: DataFrame | None = None, wrong_zone: str | None = None) -> DataFrame:
+def _named(source: str | Column) -> Column:
+    """The source's name: the same for all rows, or a column of theirs."""
+    return (source if isinstance(source, Column) else F.lit(source)).alias("source")
+
+
+def schedule_records(docs: DataFrame, source: str | Column, lineup: DataFrame | None = None, wrong_zone: str | None = None) -> DataFrame:
     """Flat JSON records (column ``json``): id_canal, titulo, dh_inicio, dh_fim and their English names.
 
     ``lineup`` (id, name) gives channels their names; ``wrong_zone`` is what a 'Z' in times really stands for.
@@ -30,7 +35,7 @@ def schedule_records(docs: DataFrame, source: str, lineup: DataFrame | None = No
     j = F.col("json")
     time = lambda *p: clock.epoch_or_iso(clock.relabelled(field(j, *p), wrong_zone) if wrong_zone else field(j, *p))
     r = docs.select(
-        F.lit(source).alias("source"), field(j, "$.id_canal", "$.channelId", "$.channel.id").alias("channel_id"), time("$.dh_inicio", "$.start", "$.startTime", "$.StartTime").alias("start"),
+        _named(source), field(j, "$.id_canal", "$.channelId", "$.channel.id").alias("channel_id"), time("$.dh_inicio", "$.start", "$.startTime", "$.StartTime").alias("start"),
         time("$.dh_fim", "$.stop", "$.endTime", "$.EndTime").alias("stop"), field(j, "$.titulo", "$.title", "$.Title").alias("title"),
         field(j, "$.descricao", "$.description", "$.Description").alias("desc"), field(j, "$.genero", "$.genre").alias("genre"), titles.rating(field(j, "$.classificacao", "$.rating", "$.AgeRating")).alias("rating_badge"),
     ).filter("start IS NOT NULL AND title IS NOT NULL")
@@ -58,13 +63,13 @@ def embedded_json(pages: DataFrame, source: str) -> DataFrame:
     return r.groupBy("source", "channel_id", "start").agg(F.max_by(rest, F.struct(F.when(F.coalesce("desc", F.lit("")) != "", 1).otherwise(0), F.length("title"), "title")).alias("r")).select("source", "channel_id", "start", "r.*")
 
 
-def timed_items(pages: DataFrame, source: str) -> DataFrame:
+def timed_items(pages: DataFrame, source: str | Column) -> DataFrame:
     """<time datetime="ISO"> items with a heading and a duration text: stop by duration, cut at the next start."""
     item = F.explode(F.regexp_extract_all("html", F.lit(r"(?s)<li\b.*?</li>"), 0)).alias("item")
-    i = pages.select("channel_id", item)
-    text = lambda p: F.trim(F.regexp_replace(F.regexp_extract("item", p, 1), r"<[^>]*>", ""))
+    i = pages.select(_named(source), "channel_id", item)
+    text = lambda p: rules.strip(rules.apply(F.regexp_replace(F.regexp_extract("item", p, 1), r"<[^>]*>", ""), (rules.UNESCAPE,)))
     r = i.select(
-        F.lit(source).alias("source"), "channel_id", F.regexp_extract("item", r'<time[^>]*datetime="([^"]+)"', 1).try_cast("timestamp").alias("start"),
+        "source", "channel_id", F.regexp_extract("item", r'<time[^>]*datetime="([^"]+)"', 1).try_cast("timestamp").alias("start"),
         text(r"(?s)<h[23][^>]*>(.*?)</h[23]>").alias("title"), clock.duration_seconds(text(r'(?s)class="duration"[^>]*>(.*?)<')).alias("seconds")).filter("start IS NOT NULL AND title != ''")
     one = r.groupBy("source", "channel_id", "start").agg(F.min(F.struct("title", "seconds")).alias("r")).select("source", "channel_id", F.unix_seconds("start").alias("s"), "r.*")
     n = series.with_next(one, ["source", "channel_id"], "s", (), "nxt")
