@@ -12,13 +12,15 @@ from .schedule_queries import NOW, REPAIRED, fixed
 from .sqlgen import lit, rewrite
 
 QUERIES, ORACLE = {}, {}
+#: SQL of names that are defined further down.
+LATER: list = []
 
 
-def query(sql: str | None = None):
+def query(sql=None):
     def register(f):
         QUERIES[f.__name__] = f
         if sql:
-            ORACLE[f.__name__] = sql
+            LATER.append((f.__name__, sql)) if callable(sql) else ORACLE.__setitem__(f.__name__, sql)
         return f
 
     return register
@@ -118,7 +120,14 @@ def alias_generation(spark, sf_dir):
     return catalog.clean_aliases(_d(spark, sf_dir))
 
 
-@query()
+_IS_SAFE = "(NOT regexp_matches(trim({0}), '[\\s&!+\"''<>;]') AND trim({0}) != '' AND strip_accents({0}) = {0})"
+_SHOWN = rewrite("name", names.QUALITY_STRIP)
+_SAFELY = rewrite("shown", names.SAFE_ID)
+
+
+@query(lambda: f"""WITH d AS (SELECT *, {_SHOWN} AS shown, array_to_string({_NUMS('name')}, ',') AS nums FROM channel_dictionary)
+SELECT key, coalesce(list_filter(coalesce(tvg_ids, []), lambda i: {_IS_SAFE.format('i')} AND array_to_string({_NUMS('i')}, ',') = nums)[1],
+ CASE WHEN {_IS_SAFE.format('shown')} THEN trim(shown) WHEN suffix({_SAFELY}, '.br') THEN {_SAFELY} ELSE lower({_SAFELY}) END) AS export_id FROM d""")
 def export_ids(spark, sf_dir):
     return catalog.export_ids(_d(spark, sf_dir))
 
@@ -310,7 +319,13 @@ def network_by_group(spark, sf_dir):
     return _e(spark, sf_dir).select("entry_id", names.with_network(F.col("display_name"), F.col("group_title"), _GROUP_NETS).alias("name"))
 
 
-@query()
+_RIGHT = f"regexp_replace(regexp_replace(split_part(channel_id, '..', 2) || CASE WHEN len(string_split(channel_id, '..')) > 2 THEN '..' || array_to_string(string_split(channel_id, '..')[3:], '..') ELSE '' END, '(?i)\\.(?:{names.DOMAINS})$', ''), '[.\\-–—_]+', ' ', 'g')"
+
+
+@query(f"""WITH p AS (SELECT chan_row_id, {_RIGHT} AS r, split_part(channel_id, '..', 1) AS l FROM source_channels WHERE contains(channel_id, '..')),
+m AS (SELECT chan_row_id, [trim(r), concat_ws(' ', split_part(r, ' ', 1), trim(regexp_replace(l, '[./]', ' ', 'g'))), concat_ws(' ', split_part(r, ' ', 1), trim(replace(split_part(l, '/', 1), '.', ' ')))] AS c FROM p),
+n AS (SELECT chan_row_id, CASE WHEN c[2] IN (c[1]) THEN [c[1]] ELSE c[1:2] END AS two, c FROM m)
+SELECT chan_row_id, array_to_string(list_filter(CASE WHEN list_contains(two, c[3]) THEN two ELSE list_append(two, c[3]) END, lambda x: trim(x) != ''), '|') AS candidates FROM n""")
 def compound_ids(spark, sf_dir):
     return _c(spark, sf_dir).select("chan_row_id", F.array_join(names.compound_candidates(F.col("channel_id")), "|").alias("candidates")).filter("candidates != ''")
 
@@ -335,3 +350,6 @@ SELECT key, count(*) AS n_pairs, count(*) FILTER (a != b AND (({_VETO}) OR repla
 def fuzzy_veto(spark, sf_dir):
     p = match.fuzzy_pairs(match.tiers(_d(spark, sf_dir)), _pc(spark, sf_dir))
     return p.groupBy("key").agg(F.count("*").alias("n_pairs"), F.count_if(match.veto(F.col("a"), F.col("b"))).alias("n_vetoed"))
+
+
+ORACLE |= {name: sql() for name, sql in LATER}
