@@ -282,7 +282,18 @@ def playlist_id_map(spark, sf_dir):
     return playlist.id_map(playlist.rekeyed(e, _guide(spark, sf_dir)), e)
 
 
-@query()
+def _resolve_sql() -> str:
+    plain = rewrite(rewrite("display_name", names.QUALITY_STRIP), names.PLAIN_KEY)
+    fits = lambda i: f"({i} IS NOT NULL AND {_IS_SAFE.format(i)} AND array_to_string({_NUMS(i)}, ',') = nums)"
+    foreign = f"({_COUNTRY('display_name')} != '' AND NOT regexp_matches({rewrite('display_name', ('unescape', 'upper', (r'^[^A-Z0-9]+', '')))}, '^USA (?:NETWORK|HD|FHD|SD|UHD|4K)\\b'))"
+    return f"""WITH {_GUIDE}, bad AS ({ORACLE['poisoned_ids']}), p1 AS (SELECT {rewrite('name', names.PLAIN_KEY)} AS k, min(id) AS pid FROM g WHERE name IS NOT NULL GROUP BY 1 HAVING k != ''), n1 AS (SELECT {nk('name')} AS k, min(id) AS nid FROM g WHERE name IS NOT NULL GROUP BY 1 HAVING k != ''),
+e AS (SELECT *, {plain} AS pk, {nk('display_name')} AS nk, {ik("coalesce(tvg_id, '')")} AS ik, array_to_string({_NUMS('display_name')}, ',') AS nums, regexp_matches(display_name, {lit(playlist.NO_GUIDE)}) OR {foreign} AS nothing FROM playlist_entries WHERE display_name IS NOT NULL),
+j AS (SELECT entry_id, CASE WHEN nothing THEN 'no_guide' WHEN {fits('pid')} THEN 'plain' WHEN {fits('nid')} THEN 'key' WHEN ik != '' AND ik NOT IN (SELECT id FROM bad) AND {fits('tvg_id')} THEN 'original' ELSE 'unresolved' END AS reason, pid, nid, tvg_id AS own
+ FROM e LEFT JOIN p1 ON p1.k = pk LEFT JOIN n1 ON n1.k = nk)
+SELECT entry_id, CASE reason WHEN 'plain' THEN pid WHEN 'key' THEN nid WHEN 'original' THEN own ELSE '' END AS tvg_id, reason FROM j"""
+
+
+@query(_resolve_sql)
 def playlist_resolve(spark, sf_dir):
     e = _e(spark, sf_dir)
     return playlist.resolved(e, _guide(spark, sf_dir), catalog.poisoned_ids(e.filter("coalesce(tvg_id, '') != ''")))
