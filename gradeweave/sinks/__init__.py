@@ -17,7 +17,8 @@ def escaped(c: Column) -> Column:
 def xmltv_lines(channels: DataFrame, programmes: DataFrame) -> DataFrame:
     """part, k1, k2, line: the lines of one XMLTV document in order of (part, k1, k2): channels first, then programmes.
 
-    channels: channel_id, display_names; programmes: channel_id, start, stop, title, description, categories.
+    channels: channel_id, display_names; programmes: channel_id, start, stop, title, description, categories and, where
+    there are such columns, sub_title, date, icon, season, episode and rating_badge. Values that are NULL or '' write nothing.
     """
     spark = channels.sparkSession
     none = F.lit(0).cast("bigint")
@@ -26,9 +27,16 @@ def xmltv_lines(channels: DataFrame, programmes: DataFrame) -> DataFrame:
     c = channels.select(F.lit(1).alias("part"), F.col("channel_id").alias("k1"), none.alias("k2"), F.concat(F.lit('<channel id="'), escaped(F.col("channel_id")), F.lit('">'), names, F.lit("</channel>")).alias("line"))
     tag = lambda t, v: F.coalesce(F.concat(F.lit(f"<{t}>"), escaped(F.nullif(v, F.lit(""))), F.lit(f"</{t}>")), F.lit(""))
     cats = F.array_join(F.transform(F.coalesce("categories", F.array().cast("array<string>")), lambda x: F.concat(F.lit("<category>"), escaped(x), F.lit("</category>"))), "")
+    has = lambda c, kind="string": F.col(c) if c in programmes.columns else F.lit(None).cast(kind)
+    some = lambda *parts: F.coalesce(F.concat(*parts), F.lit(""))
+    icon = some(F.lit('<icon src="'), escaped(F.nullif(has("icon"), F.lit(""))), F.lit('"/>'))
+    # counted from zero, as the notation wants it; an episode alone has no season before the point
+    season, episode = has("season", "int"), has("episode", "int")
+    numbers = some(F.lit('<episode-num system="xmltv_ns">'), F.coalesce((season - 1).cast("string"), F.lit("")), F.lit("."), (episode - 1).cast("string"), F.lit(".</episode-num>"))
+    rating = some(F.lit("<rating><value>"), escaped(F.nullif(has("rating_badge"), F.lit(""))), F.lit("</value></rating>"))
     p = programmes.select(F.lit(2).alias("part"), F.col("channel_id").alias("k1"), F.unix_seconds("start").alias("k2"), F.concat(
         F.lit('<programme start="'), clock.format_compact(F.col("start")), F.lit('" stop="'), clock.format_compact(F.col("stop")), F.lit('" channel="'), escaped(F.col("channel_id")), F.lit('">'),
-        tag("title", F.col("title")), tag("desc", F.col("description")), cats, F.lit("</programme>")).alias("line"))
+        tag("title", F.col("title")), tag("sub-title", has("sub_title")), tag("desc", F.col("description")), tag("date", has("date")), cats, icon, numbers, rating, F.lit("</programme>")).alias("line"))
     return ends.unionByName(c).unionByName(p)
 
 

@@ -129,3 +129,18 @@ def test_stream_first_seen(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
     streaming.run_to_parquet(s, str(tmp_path / "out"), str(tmp_path / "state"))  # nothing new: nothing is added
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_xmltv_elements_roundtrip(spark):
+    """All elements that the sink writes are read back; NULL and empty ones write nothing."""
+    rows = [("c1", 1794312000, 1794315600, "Vila & Rio", "A <volta>", "Um texto longo sobre a vila.", ["Novela", "Drama"], "2026", "http://x/i.png?a=1&b=2", 2, 5, "14"),
+            ("c2", 1794312000, 1794315600, "Só", None, "", None, None, "", None, None, "")]
+    p = spark.createDataFrame(rows, "channel_id string, s bigint, e bigint, title string, sub_title string, description string, categories array<string>, date string, icon string, season int, episode int, rating_badge string")
+    p = p.withColumn("start", F.timestamp_seconds("s")).withColumn("stop", F.timestamp_seconds("e"))
+    lines = sinks.xmltv_lines(p.limit(0).select("channel_id", F.array(F.lit("")).alias("display_names")), p).filter("part = 2").select(F.col("line").alias("xml"))
+    text = {r.xml for r in lines.collect()}
+    assert not any(x in t for t in text if 'channel="c2"' in t for x in ("<sub-title", "<date", "<icon", "<episode-num", "<rating", "<desc"))
+    got = {r.channel_id: r.meta for r in xmltv.from_text(lines, "s").collect()}
+    m = got["c1"]
+    assert (m.title, m.sub_title, m.desc, m.categories, m.date, m.icon, m.season, m.episode, m.rating_badge) == ("Vila & Rio", "A <volta>", "Um texto longo sobre a vila.", ["Novela", "Drama"], "2026", "http://x/i.png?a=1&b=2", 2, 5, "14")
+    assert got["c2"].title == "Só" and got["c2"].season is None
