@@ -85,7 +85,7 @@ def _candidates(spark, sf_dir):
 def evaluations(spark, sf_dir, exact: bool = False):
     """Rows, evaluated candidates and pairs; ``exact`` counts only titles that SQL finds alike, without their ratio."""
     r, cands = _candidates(spark, sf_dir)
-    pairs = materialise(C.shifted(materialise(C.near_window(r)), exact))
+    pairs = materialise(C.shifted(materialise(C.near_window(r).select("entry", "source", "channel_id", "row_id", "s", "e", "norm")), exact))
     return r, C.evaluated(cands, pairs, load(spark, sf_dir, "sources")), pairs
 
 
