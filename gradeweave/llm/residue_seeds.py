@@ -1,6 +1,6 @@
 """What the residue models are trained on: phrases made by rule from parts, standard lists and markers.
 
-Nothing here is a title of a table: phrases are combinations of general words of five languages, and the standard
+Phrases are combinations of general words of five languages, some of which are titles of tables too, and the standard
 library gives the messages of servers, systems and programs. Natural titles come from the table itself; the plain word
 combinations here only stand for them where a table is very small.
 """
