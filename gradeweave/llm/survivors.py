@@ -1,10 +1,14 @@
 """The best representative of each group of rows known to be the same airing (problem 7).
 
-The values of a group and field are aligned progressively: each value's tokens are aligned with the profile of those
-before it, which grows by a column wherever a token fits none. Tokens then vote in each column, and the existing value
-closest to the outcome is taken. Votes count either by the summed weight of the sources (``consensus``) or by seniority
-(``best_rows``): there a row outweighs all rows after it together, in the order of higher vote weight, smaller priority,
-later fetch, smaller id, so a column goes to the token of the highest row that takes part.
+``best_rows`` takes every field from the first row with a value, in the order of higher vote weight, smaller priority,
+later fetch, smaller id. No other row has a say in that, so nothing is aligned for it: it is one aggregation with
+partial results, no ordered group.
+
+``consensus`` aligns the values of a group and field progressively: each value's tokens are aligned with the profile of
+those before it, which grows by a column wherever a token fits none. Tokens then vote in each column by the summed weight
+of the sources, and the existing value closest to the outcome is taken. Votes by seniority, where a row outweighs all
+rows after it together, can only give the row of ``best_rows`` at distance 0: they check that columns are followed
+rightly through all chunks.
 
 Groups of up to ``CHUNK`` rows are aligned in one step. Larger ones are cut into chunks whose profiles are
 aligned with each other, ``FAN`` at a time; votes stay in rows and only follow the columns, so no task ever holds a
@@ -59,8 +63,13 @@ def _ranked(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def best_rows(rows: DataFrame, sources: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
-    """airing_id, field, row_id of the row each field is taken from, for groups of two or more rows: the consensus by seniority."""
-    return consensus(rows, sources, fields, seniority=True).select("airing_id", "field", "row_id")
+    """airing_id, field, row_id of the row each field is taken from, for groups of two or more rows."""
+    ranked = _ranked(rows.select("airing_id", "row_id", "source", "fetched_at", *fields), sources)
+    flags = ranked.select("airing_id", "order", *(valued(F.col(f).cast("string")).alias(f) for f in fields))  # texts end here, before rows are sorted
+    tops = [F.max(F.when(F.col(f), F.col("order"))).alias(f) for f in fields]
+    groups = flags.groupBy("airing_id").agg(F.count("*").alias("n"), *tops).filter("n >= 2")
+    pairs = F.filter(F.array(*(F.struct(F.lit(f).alias("field"), (-F.col(f"{f}.i")).alias("row_id")) for f in fields)), lambda x: x["row_id"].isNotNull())
+    return groups.select("airing_id", F.inline(pairs))
 
 
 def merged(rows: DataFrame, sources: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
@@ -344,6 +353,7 @@ def consensus(rows: DataFrame, sources: DataFrame, fields: Sequence[str] = FIELD
     """airing_id, field, row_id, value, support, token_distance: the value closest to the group's voted tokens.
 
     support is the share of the weight whose value is the chosen one. Rows are shuffled once, by their group.
+    ``seniority`` is for tests only: the outcome is known then, whatever the alignment.
     """
     airing = dict(rows.dtypes)["airing_id"]
     key = ["airing_id", "field"]

@@ -89,6 +89,18 @@ def test_groups_in_chunks(spark):
     assert {r.value for r in survivors.consensus(df, src, ("title",), chunk=1000).collect()} == {" ".join(base)}
 
 
+def test_best_rows_align_nothing(spark):
+    """The first row with a value needs no other value: no Python step, whatever the size of the group, and no say of the many."""
+    t = lambda i, g, s, title: (i, g, s, title, *[None] * 5, 5)
+    rows = [t(0, 1, "b", "Um Barco"), *(t(i, 1, "a", "O Farol do Norte") for i in range(1, 200)), t(200, 2, "b", "n/a"), t(201, 2, "a", "O Farol"), t(202, 2, "d", "O Barco"), t(203, 3, "b", "só um")]
+    df, src = frames(spark, rows)
+    best = survivors.best_rows(df, src)
+    assert {tuple(r) for r in best.collect()} == brute(rows) == {(1, "title", 0), (2, "title", 201)}
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert "Pandas" not in plan and "Python" not in plan and plan.count("Window") == 0
+    assert {(r.airing_id, r.value) for r in survivors.consensus(df, src).collect()} == {(1, "O Farol do Norte"), (2, "O Farol")}
+
+
 def test_exact_at_every_length():
     """Halving long texts and plain loops give the cost of the full table, also beyond its size."""
     random.seed(9)
